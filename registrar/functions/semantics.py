@@ -36,7 +36,7 @@ def paste(*parts: Column | str) -> Column:
 
 def matches(column: Column, pattern: str, ignore_case: bool = True) -> Column:
     """Regex search that is false, not null, on a missing value."""
-    flagged = f"(?i){pattern}" if ignore_case else pattern
+    flagged = f"(?i)(?:{pattern})" if ignore_case else pattern
     return F.coalesce(column.rlike(flagged), F.lit(False))
 
 
@@ -74,7 +74,8 @@ def number_text(column: Column) -> Column:
 
 def all_text(df: DataFrame) -> DataFrame:
     """Cast every column to string."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    others = [f.name for f in df.schema if not isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.col(c).cast("string") for c in others}) if others else df
 
 
 def na_cells_to_null(df: DataFrame) -> DataFrame:

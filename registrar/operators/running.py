@@ -39,8 +39,8 @@ def running_total(
         .agg(F.min_by("key", "digest").alias("key"))
         .agg(F.array_sort(F.collect_list("key")))
     )
-    chunk = F.size(F.filter(cuts.scalar(), lambda cut: cut <= key))
-    cut_rows = df.withColumn("__chunk", chunk)
+    chunk = F.size(F.filter("__cuts", lambda cut: cut <= key))
+    cut_rows = df.withColumn("__cuts", cuts.scalar()).withColumn("__chunk", chunk).drop("__cuts")
 
     ordering = [F.col(c).asc_nulls_last() for c in order]
     inside = (

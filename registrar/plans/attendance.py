@@ -30,10 +30,10 @@ SUMMARY_MEASURES = {
 
 
 def attendance_codes(cat: SchoolCatalog, academic_year: int) -> DataFrame:
-    """Mark id (as text) to code and label; the backslash mark reads as a slash."""
+    """Mark id (as text) to code and label."""
     return (
         cat.rows("attendance_codes", academic_year)
-        .select(F.col("id").cast("string").alias("mark_id"), fold_present(F.col("code")).alias("mark"), "label")
+        .select(F.col("id").cast("string").alias("mark_id"), F.col("code").alias("mark"), "label")
         .distinct()
     )
 
@@ -96,8 +96,10 @@ def attendance_session_range(
         df.select(
             "upn", F.col("student_id").alias("gfsid"), "surname_forename_reg",
             "surname_forename_id", "surname", "forename", "year_group", "reg", "gender",
-            "date", "session", "session_mark", "session_label", "session_late_minutes",
-            "session_notes",
+            "date", "session",
+            # After the distinct: the two present marks stay two rows.
+            fold_present(F.col("session_mark")).alias("session_mark"),
+            "session_label", "session_late_minutes", "session_notes",
         )
     )
 
@@ -153,7 +155,8 @@ def _lesson_rows(cat: SchoolCatalog, academic_year: int, dates: tuple[str, str])
             "lesson_id", "lesson", "teacher", "room", "upn",
             F.col("student_id").alias("gfsid"), "surname_forename_reg", "surname_forename_id",
             "surname", "forename", "gender", "year_group", "reg", "date", "subject", "class",
-            "lesson_mark", "lesson_label", "lesson_late_minutes", "lesson_notes",
+            fold_present(F.col("lesson_mark")).alias("lesson_mark"),
+            "lesson_label", "lesson_late_minutes", "lesson_notes",
         )
     )
 
@@ -224,6 +227,9 @@ def attendance_totals(
 
     return decoded.groupBy("student_id").agg(
         F.count("*").cast("int").alias("possible_sessions"),
-        *[counted(F.col("mark").isin(codes), name) for name, codes in categories.items()],
+        *[
+            counted(fold_present(F.col("mark")).isin(codes), name)
+            for name, codes in categories.items()
+        ],
         counted(F.col("mark").isNull(), "missing_mark"),
     )

@@ -34,9 +34,16 @@ class SchoolCatalog:
         self._database = database
         self._tables = dict(tables or {})
         self._format = format
+        self._loaded: dict[tuple[str, int | None], DataFrame] = {}
 
     def load(self, name: str, academic_year: int | None = None) -> DataFrame:
-        """The stored table, before columns are conformed."""
+        """The stored table, before columns are conformed; resolved once."""
+        key = (name, academic_year)
+        if key not in self._loaded:
+            self._loaded[key] = self._read(name, academic_year)
+        return self._loaded[key]
+
+    def _read(self, name: str, academic_year: int | None) -> DataFrame:
         if name in self._tables:
             return self._tables[name]
         if self._database is not None:
@@ -71,12 +78,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     present = {f.name: f.dataType for f in df.schema}
     for field in SOURCES[name]:
         if field.name not in present:
-            column = F.lit(None).cast(field.dataType)
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif present[field.name] != field.dataType:
-            column = F.col(field.name).cast(field.dataType)
+            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
         else:
-            column = F.col(field.name)
-        columns.append(column.alias(field.name))
+            columns.append(field.name)
     if "academic_year" in present and name not in WITHOUT_YEAR:
-        columns.append(F.col("academic_year"))
+        columns.append("academic_year")
     return df.select(*columns)

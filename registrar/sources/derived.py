@@ -366,13 +366,21 @@ class DerivedSchool(SchoolCatalog):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark)
-        self._inputs = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}
+        self._sf_dir = sf_dir
         self._sql = derived_sql(SPARK)
+        self._base: dict[str, DataFrame] = {}
+
+    def _input(self, table: str) -> DataFrame:
+        if table not in self._base:
+            self._base[table] = self.spark.read.parquet(f"{self._sf_dir}/{table}.parquet")
+        return self._base[table]
 
     def _select(self, name: str) -> DataFrame:
-        return self.spark.sql(self._sql[name].format(**self._inputs))
+        statement = self._sql[name]
+        inputs = {t: self._input(t) for t in BASE_TABLES if f"{{{t}}}" in statement}
+        return self.spark.sql(statement, **inputs)
 
-    def load(self, name: str, academic_year: int | None = None) -> DataFrame:
+    def _read(self, name: str, academic_year: int | None) -> DataFrame:
         if name == "students" and academic_year != YEAR:
             past = self._select("students_past")
             return past if academic_year is not None else past.unionByName(self._select("students"))
