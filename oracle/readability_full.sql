@@ -19,6 +19,7 @@ FROM (
   SELECT *, round_even(CAST(words AS DOUBLE) / sentences, 1) AS mean_words_ps,
     round_even(CAST(syllables AS DOUBLE) / nullif(words, 0), 1) AS mean_syllables_pw,
     round_even(CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * (CAST(words AS DOUBLE) / sentences)
-      - CAST(84.6 AS DOUBLE) * (CAST(syllables AS DOUBLE) / nullif(words, 0)), 0) AS flesch
+      - CAST(84.6 AS DOUBLE) * (CAST(syllables AS DOUBLE) / nullif(words, 0)), 0)
+      + 0.0 AS flesch  -- no negative zero
   FROM text_counts
 ) AS scored

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 Key = str | tuple[str, str]
 
+# Stand-ins for null keys, by type; numbers use 0.
+_DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp_ntz": "1970-01-01"}
+
 
 def _prepare(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> tuple[DataFrame, Column, list[str]]:
     pairs = [(k, k) if isinstance(k, str) else k for k in on]
@@ -46,14 +49,41 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> Data
     but on both sides of an inner join, and an inner join may also broadcast
     a small left side. So the matched rows come from an inner join and the
     unmatched ones from an anti join against the right side's distinct keys,
-    which are combined map-side. Both branches read the same left plan.
+    which are combined map-side. Both branches read the same left plan, and
+    its exchange is reused.
     """
     right, condition, temps = _prepare(left, right, on)
     matched = left.join(right, condition, "inner").drop(*temps)
-    unmatched = left.join(right.select(*temps).distinct(), condition, "left_anti")
+    unmatched = _without_partner(left, right, on, temps)
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
+def _without_partner(
+    left: DataFrame, right: DataFrame, on: Sequence[Key], temps: list[str]
+) -> DataFrame:
+    """Anti join against the distinct keys of ``right``.
+
+    The keys are made distinct in the form a null-safe join hashes them, a
+    default for null beside a null flag, so that one shuffle serves both the
+    ``distinct`` and the join.
+    """
+    types = {f.name: f.dataType for f in right.schema}
+    pairs = list(zip([k if isinstance(k, str) else k[0] for k in on], temps))
+
+    def hashed(column: str, key: str) -> list[Column]:
+        default = _DEFAULTS.get(types[key].typeName(), 0)
+        return [F.coalesce(F.col(column), F.lit(default).cast(types[key])), F.col(column).isNull()]
+
+    keys = right.select(
+        *[c.alias(f"{t}_{i}") for _, t in pairs for i, c in enumerate(hashed(t, t))]
+    ).distinct()
+    condition = reduce(
+        Column.__and__,
+        [c == F.col(f"{t}_{i}") for l, t in pairs for i, c in enumerate(hashed(l, t))],
+    )
+    return left.join(keys, condition, "left_anti")
+
+
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
     """Null-safe inner join; the right key columns are dropped."""
     right, condition, temps = _prepare(left, right, on)
@@ -62,8 +92,9 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFram
 
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
     """Left rows without a partner, null-safe."""
-    right, condition, temps = _prepare(left, right.select(*{k if isinstance(k, str) else k[1] for k in on}), on)
-    return left.join(right.distinct(), condition, "left_anti")
+    keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])
+    right, _, temps = _prepare(left, keys, on)
+    return _without_partner(left, right, on, temps)
 
 
 def full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -15,8 +15,6 @@ from registrar.functions.semantics import (
     domain_order,
     impute,
     in_domain,
-    label_id,
-    label_reg,
     matches,
     number_text,
     to_integer,
@@ -29,6 +27,7 @@ from registrar.plans.common import (
     SENSITIVE_PP,
     class_membership,
     pupil_dim,
+    pupil_texts,
     subjects,
 )
 from registrar.sources.catalog import SchoolCatalog
@@ -69,8 +68,7 @@ def exam_results(
     df = left_join(df, pupils, ["student_id"]).select(
         "staff_code", "year_group", "qualification_title", "subject", "class", "upn",
         F.col("student_id").alias("gfsid"),
-        label_reg().alias("surname_forename_reg"),
-        label_id(F.col("student_id")).alias("surname_forename_id"),
+        *[text.alias(c) for c, text in pupil_texts().items()],
         F.col("preferred_last_name").alias("surname"),
         F.col("preferred_first_name").alias("forename"),
         F.col("registration_group").alias("reg"),
@@ -113,8 +111,7 @@ def _attainment(cat: SchoolCatalog, academic_year: int, year_groups: list[str])
     return df.select(
         "staff_code", "year_group", "subject", "class", "upn",
         F.col("student_id").alias("gfsid"),
-        label_reg().alias("surname_forename_reg"),
-        label_id(F.col("student_id")).alias("surname_forename_id"),
+        *[text.alias(c) for c, text in pupil_texts().items()],
         F.col("preferred_last_name").alias("surname"),
         F.col("preferred_first_name").alias("forename"),
         F.col("registration_group").alias("reg"),

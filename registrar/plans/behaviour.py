@@ -11,8 +11,6 @@ from registrar.functions.semantics import (
     all_text,
     ifelse,
     in_domain,
-    label_id,
-    label_reg,
     matches,
     na_cells_to_null,
     na_text,
@@ -21,7 +19,7 @@ from registrar.operators.collapse import repeated_list_text
 from registrar.operators.joins import inner_join, left_join, left_join_many, natural_left_join
 from registrar.operators.running import running_total
 from registrar.plans.attendance import attendance_session_range
-from registrar.plans.common import group_members, pupil_dim, subjects
+from registrar.plans.common import group_members, pupil_dim, pupil_texts, subjects
 from registrar.plans.students import DETAIL_COLUMNS, student_details
 from registrar.sources.catalog import SchoolCatalog
 
@@ -181,8 +179,7 @@ def behaviour_events_range(
         F.col("room_name").alias("room"),
         "upn",
         F.col("student_id").alias("gfsid"),
-        label_reg().alias("surname_forename_reg"),
-        label_id(F.col("student_id")).alias("surname_forename_id"),
+        *[text.alias(c) for c, text in pupil_texts().items()],
         F.col("preferred_last_name").alias("surname"),
         F.col("preferred_first_name").alias("forename"),
         F.col("registration_group").alias("reg"),

@@ -4,25 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar.functions.semantics import (
-    PUPIL_DEFAULTS,
-    impute,
-    label_id,
-    label_reg,
-    matches,
-    paste,
-    white_british_pp,
-)
+from registrar.functions.semantics import PUPIL_DEFAULTS, impute, matches
 from registrar.operators.joins import anti_join, inner_join, left_join, left_join_many
 from registrar.plans.common import (
     GENERAL_CLASS_LIST,
+    NAMELESS,
     SENSITIVE_CLASS_LIST,
     group_dim,
     group_members,
     pupil_dim,
+    pupil_texts,
     subjects,
 )
 from registrar.sources.catalog import SchoolCatalog
@@ -69,33 +63,21 @@ def _places(cat: SchoolCatalog, academic_year: int, staff: Sequence[str] | None)
     )
 
 
-def _columns() -> dict[str, Column]:
-    return {
-        "staff_code": F.col("staff_code"),
-        "year_group": F.col("year_group"),
-        "reg": F.col("registration_group"),
-        "subject": F.col("subject"),
-        "class": F.col("class"),
-        "upn": F.col("upn"),
-        "gfsid": F.col("student_id"),
-        "uci": F.col("uci"),
-        "surname_forename_reg": label_reg(),
-        "surname_forename_id": label_id(F.col("student_id")),
-        "surname": F.col("preferred_last_name"),
-        "forename": F.col("preferred_first_name"),
-        "gender": F.col("sex"),
-        "lac": F.col("lac"),
-        "ethnicity": F.col("ethnicity"),
-        "eal": F.col("eal"),
-        "fsm": F.col("fsm"),
-        "pp": F.col("pp"),
-        "wbr_pp": white_british_pp(F.col("ethnicity"), F.col("pp")),
-        "hml_band": F.col("hml_band"),
-        "target": F.col("target"),
-        "sen": F.col("sen"),
-        "sen_notes": F.col("sen_notes"),
-        "keyworker": F.col("keyworker"),
-    }
+_RENAMED = {
+    "gfsid": "student_id",
+    "reg": "registration_group",
+    "surname": "preferred_last_name",
+    "forename": "preferred_first_name",
+    "gender": "sex",
+}
+
+
+def _shaped(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    texts = pupil_texts(wbr_pp=True)
+    df = df.select(
+        *[texts[c].alias(c) if c in texts else F.col(_RENAMED.get(c, c)).alias(c) for c in columns]
+    )
+    return impute(df, PUPIL_DEFAULTS)
 
 
 TEACHER_COLUMNS = [
@@ -134,9 +116,7 @@ def class_list_teacher(
     )
     df = left_join_many(_places(cat, academic_year, staff), targets, ["student_id", "subject"])
     df = left_join(df, _pupils(cat, academic_year), ["student_id"])
-    columns = _columns()
-    df = df.select(*[columns[c].alias(c) for c in TEACHER_COLUMNS])
-    return impute(df, PUPIL_DEFAULTS)
+    return _shaped(df, TEACHER_COLUMNS)
 
 
 def class_list_student(cat: SchoolCatalog, academic_year: int, student: str) -> DataFrame:
@@ -149,10 +129,8 @@ def class_list_student(cat: SchoolCatalog, academic_year: int, student: str) ->
     """
     pupils = _pupils(cat, academic_year)
     places = _places(cat, academic_year, None)
-    found = inner_join(places, pupils.filter(matches(label_reg(), student)), ["student_id"])
-    nameless = paste(F.upper(F.lit(None).cast("string")), " ", F.lit(None), " (", F.lit(None), ")")
-    unknown = anti_join(places, pupils, ["student_id"]).filter(matches(nameless, student))
+    found = pupils.filter(matches(F.col("surname_forename_reg"), student))
+    found = inner_join(places, found, ["student_id"])
+    unknown = anti_join(places, pupils, ["student_id"]).filter(matches(F.lit(NAMELESS), student))
     df = found.unionByName(unknown, allowMissingColumns=True)
-    columns = _columns()
-    df = df.select(*[columns[c].alias(c) for c in STUDENT_COLUMNS])
-    return impute(df, PUPIL_DEFAULTS)
+    return _shaped(df, STUDENT_COLUMNS)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from registrar.functions.semantics import label_id, label_reg, paste, white_british_pp
 from registrar.operators.joins import full_join, left_join, left_join_many
 from registrar.operators.reshape import eav_wide
 from registrar.sources.catalog import SchoolCatalog
@@ -36,6 +37,8 @@ SENSITIVE_FULL = {
 SENSITIVE_CLASS_LIST = {a: c for a, c in SENSITIVE_FULL.items() if c != "fsm6"}
 SENSITIVE_PP = {"Pupil Premium Indicator": "pp"}
 
+NAMELESS = "NA NA (NA)"  # label of a row without pupil details
+
 NAMES = ["preferred_last_name", "preferred_first_name", "sex"]
 
 
@@ -89,7 +92,29 @@ def pupil_dim(
     if general or sensitive:
         wide = attributes(cat, year, general or {}, sensitive or {}, duplicates)
         dim = full_join(dim, wide, "student_id")
-    return dim
+    derived = {
+        "surname_forename_reg": label_reg(),
+        "surname_forename_id": label_id(F.col("student_id")),
+    }
+    if sensitive and {"ethnicity", "pp"} <= set(sensitive.values()):
+        derived["wbr_pp"] = white_british_pp(F.col("ethnicity"), F.col("pp"))
+    return dim.withColumns(derived)
+
+
+def pupil_texts(wbr_pp: bool = False) -> dict[str, Column]:
+    """The labels of a fact row joined to the pupil dimension.
+
+    They are made once per pupil, in the dimension, where they are never
+    null; a fact row without a pupil gets what its missing details spell.
+    """
+    reg, ident = F.col("surname_forename_reg"), F.col("surname_forename_id")
+    texts = {
+        "surname_forename_reg": F.coalesce(reg, F.lit(NAMELESS)),
+        "surname_forename_id": F.coalesce(ident, paste("NA NA (", F.col("student_id"), ")")),
+    }
+    if wbr_pp:
+        texts["wbr_pp"] = F.when(reg.isNull(), F.lit("False")).otherwise(F.col("wbr_pp"))
+    return texts
 
 
 def subjects(cat: SchoolCatalog, year: int) -> DataFrame:
