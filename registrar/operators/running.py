@@ -30,18 +30,7 @@ def running_total(
     and in every retry of a lost task. Only the per-chunk totals, at most
     ``chunks + 1`` rows for each group, meet in one task.
     """
-    key_parts = [p for c in order for p in (F.col(c).isNull(), F.col(c))]
-    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(key_parts)])
-    digest = F.xxhash64(*order)
-    cuts = (
-        df.select(key.alias("key"), digest.alias("digest"))
-        .groupBy(F.pmod("digest", F.lit(chunks)))
-        .agg(F.min_by("key", "digest").alias("key"))
-        .agg(F.array_sort(F.collect_list("key")))
-    )
-    chunk = F.size(F.filter("__cuts", lambda cut: cut <= key))
-    cut_rows = df.withColumn("__cuts", cuts.scalar()).withColumn("__chunk", chunk).drop("__cuts")
-
+    cut_rows = ordered_chunks(df, order, chunks)
     ordering = [F.col(c).asc_nulls_last() for c in order]
     inside = (
         Window.partitionBy(*by, "__chunk")
@@ -60,3 +49,18 @@ def running_total(
     summed = cut_rows.withColumn(output, F.sum(value).over(inside))
     joined = left_join(summed, offsets, [*by, "__chunk"])
     return joined.withColumn(output, F.col(output) + F.col("__before")).drop("__chunk", "__before")
+
+
+def ordered_chunks(df: DataFrame, order: Sequence[str], chunks: int) -> DataFrame:
+    """Number the rows' ordered chunks in ``__chunk``, about equally many rows each."""
+    key_parts = [p for c in order for p in (F.col(c).isNull(), F.col(c))]
+    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(key_parts)])
+    digest = F.xxhash64(*order)
+    cuts = (
+        df.select(key.alias("key"), digest.alias("digest"))
+        .groupBy(F.pmod("digest", F.lit(chunks)))
+        .agg(F.min_by("key", "digest").alias("key"))
+        .agg(F.array_sort(F.collect_list("key")))
+    )
+    chunk = F.size(F.filter("__cuts", lambda cut: cut <= key))
+    return df.withColumn("__cuts", cuts.scalar()).withColumn("__chunk", chunk).drop("__cuts")
