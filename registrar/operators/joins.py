@@ -90,6 +90,13 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFram
     return left.join(right, condition, "inner").drop(*temps)
 
 
+def semi_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
+    """Left rows with a partner, null-safe, each once."""
+    keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])
+    right, condition, _ = _prepare(left, keys, on)
+    return left.join(right, condition, "left_semi")
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
     """Left rows without a partner, null-safe."""
     keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])

@@ -21,7 +21,16 @@ from registrar.functions.semantics import (
 )
 from registrar.operators.joins import inner_join, left_join, left_join_many
 from registrar.operators.reshape import split_pair
-from registrar.plans.classlists import class_list_teacher, grades_with_type, year_group_range
+from registrar.plans.classlists import (
+    TEACHER_COLUMNS,
+    class_list_columns,
+    class_list_pupils,
+    class_list_teacher,
+    class_places,
+    grades_with_type,
+    places_with_target,
+    year_group_range,
+)
 from registrar.plans.common import (
     GENERAL_BAND,
     SENSITIVE_PP,
@@ -39,6 +48,7 @@ DOUBLE_GRADE_SUBJECT = "Combined Science 9-1"
 _IDENTITY = ["upn", "registration_group", "year_group"]
 _NO_SUBJECT = "\u0000no group"
 
+MARK_COLUMNS = ["markbook", "strand", "mark", "max", "grade"]
 TARGET_COLUMNS = [
     "staff_code", "ac_year", "year_group", "subject", "class", "upn", "gfsid",
     "surname_forename_reg", "surname_forename_id", "gender", "reg", "ethnicity", "pp", "wbr_pp",
@@ -81,10 +91,12 @@ def exam_results(
 
 
 def _with_class(cat: SchoolCatalog, academic_year: int, df: DataFrame) -> DataFrame:
-    """Attach the pupil's classes in the subject: many per row on both sides."""
-    return left_join_many(
-        df, class_membership(cat, academic_year), ["student_id", "subject_code"]
-    )
+    """Attach the pupil's classes in the subject.
+
+    The membership is distinct, so one pupil has at most as many rows as the
+    school has classes and staff; a hot pupil among the grades is split.
+    """
+    return left_join(df, class_membership(cat, academic_year), ["student_id", "subject_code"])
 
 
 def attainment(cat: SchoolCatalog, academic_year: int, year_group: str) -> DataFrame:
@@ -162,7 +174,7 @@ def markbook_attainment(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     the class list get their subjects first and meet the marks on
     (pupil, subject): the same rows, without the blow-up.
     """
-    class_list = class_list_teacher(cat, academic_year)
+    places = class_places(cat, academic_year)
     class_subjects = (
         cat.rows("teaching_groups", academic_year)
         .select(F.col("name").alias("class"), "subject_id")
@@ -188,11 +200,11 @@ def markbook_attainment(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     no_class = cat.spark.range(1).select(
         F.lit(None).cast("string").alias("class"), F.lit(_NO_SUBJECT).alias("subject_id")
     )
-    places = class_list.select("gfsid", "class").distinct()
-    placed = inner_join(places, class_subjects.unionByName(no_class), ["class"])
-    found = (
-        inner_join(placed, marks, [("gfsid", "student_id"), "subject_id"])
-        .drop("subject_id")
-        .distinct()
-    )
-    return left_join_many(class_list, found, ["class", "gfsid"])
+    pairs = places.select("student_id", "class").distinct()
+    placed = inner_join(pairs, class_subjects.unionByName(no_class), ["class"])
+    found = inner_join(placed, marks, ["student_id", "subject_id"]).drop("subject_id").distinct()
+    df = places_with_target(cat, academic_year, places, year_group_range("7", "11"))
+    df = left_join_many(df, found, ["class", "student_id"])
+    # The wide pupil columns come last, to rows that are final.
+    df = left_join(df, class_list_pupils(cat, academic_year), ["student_id"])
+    return class_list_columns(df, [*TEACHER_COLUMNS, *MARK_COLUMNS])

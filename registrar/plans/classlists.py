@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.semantics import PUPIL_DEFAULTS, impute, matches
-from registrar.operators.joins import anti_join, inner_join, left_join, left_join_many
+from registrar.operators.joins import anti_join, inner_join, left_join, left_join_many, semi_join
 from registrar.plans.common import (
     GENERAL_CLASS_LIST,
     NAMELESS,
@@ -45,22 +45,43 @@ def grades_with_type(cat: SchoolCatalog, academic_year: int, year_groups: list[s
     return left_join(df, subjects(cat, academic_year), ["subject_id"])
 
 
-def _pupils(cat: SchoolCatalog, academic_year: int) -> DataFrame:
+def class_list_pupils(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     return pupil_dim(
         cat, academic_year, _IDENTITY, GENERAL_CLASS_LIST, SENSITIVE_CLASS_LIST
     )
 
 
-def _places(cat: SchoolCatalog, academic_year: int, staff: Sequence[str] | None) -> DataFrame:
-    """Distinct (staff, subject, class, pupil); a group without pupils is kept."""
+def class_places(
+    cat: SchoolCatalog,
+    academic_year: int,
+    staff: Sequence[str] | None = None,
+    pupils: DataFrame | None = None,
+) -> DataFrame:
+    """Distinct (staff, subject, class, pupil); a group without pupils is kept.
+
+    ``staff`` is tested on the groups, which cuts the membership join, and
+    ``pupils`` before the rows are made distinct, which cuts that shuffle.
+    """
     groups = group_dim(cat, academic_year)
     if staff is not None:
         groups = groups.filter(F.col("staff_code").isin(list(staff)))
-    return (
-        left_join_many(groups, group_members(cat, academic_year), ["group_id"])
-        .select("staff_code", "subject", "class", "student_id")
+    places = left_join_many(groups, group_members(cat, academic_year), ["group_id"])
+    if pupils is not None:
+        places = semi_join(places, pupils, ["student_id"])
+    return places.select("staff_code", "subject", "class", "student_id").distinct()
+
+
+def places_with_target(
+    cat: SchoolCatalog, academic_year: int, places: DataFrame, year_groups: list[str]
+) -> DataFrame:
+    """Attach target grades: distinct, so a pupil's subject has few of them."""
+    targets = (
+        grades_with_type(cat, academic_year, year_groups)
+        .filter(F.col("grade_type") == TARGET)
+        .select("student_id", "subject", F.col("grade").alias("target"))
         .distinct()
     )
+    return left_join(places, targets, ["student_id", "subject"])
 
 
 _RENAMED = {
@@ -72,7 +93,7 @@ _RENAMED = {
 }
 
 
-def _shaped(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def class_list_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     texts = pupil_texts(wbr_pp=True)
     df = df.select(
         *[texts[c].alias(c) if c in texts else F.col(_RENAMED.get(c, c)).alias(c) for c in columns]
@@ -102,35 +123,31 @@ def class_list_teacher(
 ) -> DataFrame:
     """Every class of all or some staff, a row per pupil and target grade.
 
-    The staff filter is on the small group side, so it cuts the membership
-    join. Places, targets and pupils are each distinct and all their columns
-    are kept, so the wide rows are distinct as they are.
+    Places, targets and pupils are each distinct and all their columns are
+    kept, so the wide rows are distinct as they are.
     """
     staff = [staff_code] if isinstance(staff_code, str) else staff_code
-    year_groups = year_group_range(year_group_from, year_group_to)
-    targets = (
-        grades_with_type(cat, academic_year, year_groups)
-        .filter(F.col("grade_type") == TARGET)
-        .select("student_id", "subject", F.col("grade").alias("target"))
-        .distinct()
+    df = class_places(cat, academic_year, staff)
+    df = places_with_target(
+        cat, academic_year, df, year_group_range(year_group_from, year_group_to)
     )
-    df = left_join_many(_places(cat, academic_year, staff), targets, ["student_id", "subject"])
-    df = left_join(df, _pupils(cat, academic_year), ["student_id"])
-    return _shaped(df, TEACHER_COLUMNS)
+    df = left_join(df, class_list_pupils(cat, academic_year), ["student_id"])
+    return class_list_columns(df, TEACHER_COLUMNS)
 
 
 def class_list_student(cat: SchoolCatalog, academic_year: int, student: str) -> DataFrame:
     """Every class of the pupils whose label matches a pattern.
 
     The label needs pupil columns only, so it is tested on the pupil
-    dimension and the survivors are joined to their places. Places without
-    pupil details all carry the same label; that branch disappears from the
-    plan when the pattern does not match it.
+    dimension and the survivors pick their places. Places without pupil
+    details all carry the same label; that branch disappears from the plan
+    when the pattern does not match it.
     """
-    pupils = _pupils(cat, academic_year)
-    places = _places(cat, academic_year, None)
-    found = pupils.filter(matches(F.col("surname_forename_reg"), student))
-    found = inner_join(places, found, ["student_id"])
-    unknown = anti_join(places, pupils, ["student_id"]).filter(matches(F.lit(NAMELESS), student))
-    df = found.unionByName(unknown, allowMissingColumns=True)
-    return _shaped(df, STUDENT_COLUMNS)
+    pupils = class_list_pupils(cat, academic_year)
+    named = pupils.filter(matches(F.col("surname_forename_reg"), student))
+    found = class_places(cat, academic_year, pupils=named)
+    found = inner_join(found, named, ["student_id"])
+    nameless = anti_join(class_places(cat, academic_year), pupils, ["student_id"])
+    nameless = nameless.filter(matches(F.lit(NAMELESS), student))
+    df = found.unionByName(nameless, allowMissingColumns=True)
+    return class_list_columns(df, STUDENT_COLUMNS)

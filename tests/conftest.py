@@ -13,9 +13,10 @@ SF_DIR = Path("/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("registrar-tests")
-        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
