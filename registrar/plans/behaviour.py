@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.functions.semantics import (
+    PUPIL_DEFAULTS,
     SPECIAL_SUBJECT_CODES,
     YEAR_GROUPS,
     all_text,
@@ -16,10 +17,17 @@ from registrar.functions.semantics import (
     na_text,
 )
 from registrar.operators.collapse import repeated_list_text
-from registrar.operators.joins import inner_join, left_join, left_join_many, natural_left_join
+from registrar.operators.joins import left_join, left_join_many, natural_left_join
 from registrar.operators.running import running_total
 from registrar.plans.attendance import attendance_session_range
-from registrar.plans.common import group_members, pupil_dim, pupil_texts, subjects
+from registrar.plans.common import (
+    GENERAL_FULL,
+    SENSITIVE_FULL,
+    group_members,
+    pupil_dim,
+    pupil_texts,
+    subjects,
+)
 from registrar.plans.students import DETAIL_COLUMNS, student_details
 from registrar.sources.catalog import SchoolCatalog
 
@@ -148,54 +156,88 @@ def behaviour_events_range(
     events = _event_rows(cat, academic_year, (date_start, date_end))
     lookup = _class_lookup(cat, academic_year)
     pupils = pupil_dim(
-        cat, academic_year, ["upn", "national_curriculum_year", "registration_group"]
+        cat,
+        academic_year,
+        ["upn", "national_curriculum_year", "registration_group"],
+        GENERAL_FULL,
+        SENSITIVE_FULL,
+    )
+    lists = _action_lists(_with_copies(events, lookup, pupils), distinct_actions)
+
+    # Only events without a class of their own look one up; the lookup is
+    # distinct, so a pupil's subject has at most as many rows as classes.
+    wanted = F.when(F.col("group_name").isNull(), F.lit(True)).otherwise(F.lit(False))
+    df = left_join(
+        events.drop("actions").withColumn("looked_up", wanted),
+        lookup.withColumn("looked_up", F.lit(True)),
+        ["subject_code", "student_id", "looked_up"],
     )
-    class_key = ["subject_code", "student_id"]
-    class_count = lookup.groupBy(*class_key).agg(F.count("*").alias("classes"))
-    pupil_count = pupils.groupBy("student_id").agg(F.count("*").alias("details"))
-
-    # The counts tell which events need a class from the lookup, and how often
-    # each event will repeat, without attaching anything wide.
-    counted = left_join(events, class_count, class_key)
-    copies = F.when(F.col("group_name").isNull(), F.coalesce("classes", F.lit(1))).otherwise(1)
-    repeated = left_join(
-        counted.select(*_GROUP, "actions", copies.alias("copies")), pupil_count, ["student_id"]
-    ).withColumn("copies", F.col("copies") * F.coalesce("details", F.lit(1)))
-    lists = _action_lists(repeated, distinct_actions)
-
-    looked_up = F.col("group_name").isNull() & F.col("classes").isNotNull()
-    settled = counted.filter(~looked_up).withColumn("class", F.col("group_name"))
-    found = inner_join(counted.filter(looked_up), lookup, class_key)
-    df = settled.unionByName(found).drop("actions", "classes")
     df = left_join(df, lists, _GROUP)
-    df = left_join(df, pupils, ["student_id"])
     df = df.select(
         "event_id",
         "staff",
         F.lower("email_address").alias("email_staff"),
-        F.col("national_curriculum_year").alias("year_group"),
         F.col("subject_code").alias("subject"),
-        "class",
+        F.coalesce("group_name", "class").alias("class"),
         F.col("room_name").alias("room"),
-        "upn",
-        F.col("student_id").alias("gfsid"),
-        *[text.alias(c) for c, text in pupil_texts().items()],
-        F.col("preferred_last_name").alias("surname"),
-        F.col("preferred_first_name").alias("forename"),
-        F.col("registration_group").alias("reg"),
-        F.col("sex").alias("gender"),
+        "student_id",
         F.col("event_date").alias("date"),
         F.col("created_timestamp").alias("timestamp"),
-        "school_week", "day_type", "event_code", "event_name", "event_classification",
-        "action_immediate", "action_followup",
+        "school_week",
+        "day_type",
+        "event_code",
+        "event_name",
+        "event_classification",
+        "action_immediate",
+        "action_followup",
         F.col("significance").alias("polarity"),
-        "score", "school_notes",
+        "score",
+        "school_notes",
     )
-    df = na_cells_to_null(all_text(df)).select(*EVENT_COLUMNS).distinct()
-    demographics = (
-        student_details(cat, academic_year).select("gfsid", *DEMOGRAPHIC_COLUMNS).distinct()
+    # Distinct before the wide pupil columns, which are distinct themselves.
+    df = left_join(na_cells_to_null(all_text(df)).distinct(), _pupil_columns(pupils), ["student_id"])
+    df = df.withColumns(pupil_texts()).withColumnRenamed("student_id", "gfsid")
+    return df.select(*EVENT_COLUMNS, *DEMOGRAPHIC_COLUMNS)
+
+
+def _with_copies(events: DataFrame, lookup: DataFrame, pupils: DataFrame) -> DataFrame:
+    """How often each event's row repeats once class and pupil details are
+    attached: worked out from counts, without attaching anything wide."""
+    class_key = ["subject_code", "student_id"]
+    class_count = lookup.groupBy(*class_key).agg(F.count("*").alias("classes"))
+    pupil_count = pupils.groupBy("student_id").agg(F.count("*").alias("details"))
+    df = left_join(
+        events.select(*_GROUP, "subject_code", "group_name", "actions"), class_count, class_key
+    )
+    df = left_join(df, pupil_count, ["student_id"])
+    classes = F.when(F.col("group_name").isNull(), F.coalesce("classes", F.lit(1))).otherwise(1)
+    return df.withColumn("copies", classes * F.coalesce("details", F.lit(1)))
+
+
+def _pupil_columns(pupils: DataFrame) -> DataFrame:
+    """Identity and demographics as the events show them.
+
+    Demographics belong to pupils on the roll, with gaps filled there.
+    """
+    filled = {c: F.coalesce(c, F.lit(v)) for c, v in PUPIL_DEFAULTS.items()}
+    demographics = [
+        F.when(F.col("on_roll"), filled.get(c, F.col(c))).alias(c) for c in DEMOGRAPHIC_COLUMNS
+    ]
+    identity = {
+        "year_group": "national_curriculum_year",
+        "upn": "upn",
+        "surname": "preferred_last_name",
+        "forename": "preferred_first_name",
+        "reg": "registration_group",
+        "gender": "sex",
+    }
+    return pupils.select(
+        "student_id",
+        "surname_forename_reg",
+        "surname_forename_id",
+        *[F.nullif(F.col(c), F.lit("NA")).alias(n) for n, c in identity.items()],
+        *demographics,
     )
-    return left_join(df, demographics, ["gfsid"])
 
 
 def exclusions(

@@ -86,9 +86,11 @@ def pupil_dim(
     details of a pupil missing from the roll. One dimension means a fact is
     shuffled once for all of them, in a single join whose hot keys adaptive
     execution can split. Its rows are distinct, so a distinct fact joined to
-    it needs no second ``distinct`` over the wide rows.
+    it needs no second ``distinct`` over the wide rows. ``on_roll`` is null
+    for a pupil known from the other tables only.
     """
-    dim = full_join(students(cat, year), edu_details(cat, year, edu), "student_id")
+    roll = students(cat, year).withColumn("on_roll", F.lit(True))
+    dim = full_join(roll, edu_details(cat, year, edu), "student_id")
     if general or sensitive:
         wide = attributes(cat, year, general or {}, sensitive or {}, duplicates)
         dim = full_join(dim, wide, "student_id")
