@@ -1,0 +1 @@
+SELECT * FROM attendance_session_range WHERE date = '2024-01-15'

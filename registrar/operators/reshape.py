@@ -81,6 +81,6 @@ def split_pair(column: Column, separator: str, first: str, second: str) -> list[
     ]
 
 
-def distinct_list_text(column: Column, separator: str = ", ") -> Column:
+def list_text(column: Column, separator: str = ", ") -> Column:
     """Array as display text; an empty or missing array is null."""
     return F.nullif(F.concat_ws(separator, column), F.lit(""))

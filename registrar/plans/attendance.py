@@ -13,7 +13,7 @@ from registrar.functions.semantics import (
     paste,
 )
 from registrar.operators.joins import inner_join, left_join
-from registrar.operators.reshape import distinct_list_text
+from registrar.operators.reshape import list_text
 from registrar.plans.common import edu_details, students
 from registrar.sources.catalog import SchoolCatalog
 
@@ -117,7 +117,7 @@ def _class_stack(cat: SchoolCatalog, academic_year: int) -> DataFrame:
         F.col("id").alias("class_id"),
         "period_id",
         F.explode_outer("teacher_ids").alias("teacher_id"),
-        distinct_list_text(F.col("rooms")).alias("room"),
+        list_text(F.col("rooms")).alias("room"),
         "year_group",
         F.col("subject_code").alias("subject"),
         F.col("group_code").alias("class"),

@@ -41,6 +41,10 @@ PRODUCTS: dict[str, Callable[[DerivedSchool], DataFrame]] = {
     "targets_double_grade": lambda c: attainment.targets(c, YEAR, "Combined Science 9-1"),
     "markbook_attainment": lambda c: attainment.markbook_attainment(c, YEAR),
     "attendance_session": lambda c: attendance.attendance_session(c, YEAR, ONE_DAY, "am"),
+    "attendance_session_both": lambda c: attendance.attendance_session(c, YEAR, ONE_DAY),
+    "attendance_session_range_am": lambda c: attendance.attendance_session_range(
+        c, YEAR, *RANGE, session="am"
+    ),
     "attendance_session_range": lambda c: attendance.attendance_session_range(c, YEAR, *RANGE),
     "attendance_lesson": lambda c: attendance.attendance_lesson(c, YEAR, ONE_DAY),
     "attendance_lesson_range": lambda c: attendance.attendance_lesson_range(c, YEAR, *RANGE),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registrar.functions.semantics import label_id, label_reg, paste, white_british_pp
 from registrar.operators.joins import full_join, left_join, left_join_many
-from registrar.operators.reshape import eav_wide
+from registrar.operators.reshape import eav_wide, list_text
 from registrar.sources.catalog import SchoolCatalog
 
 # Attribute names of the two pupil attribute tables.
@@ -62,14 +62,21 @@ def attributes(
     sensitive: Mapping[str, str],
     duplicates: str = "min",
 ) -> DataFrame:
-    """Both attribute tables, widened together: one row per pupil."""
-    return eav_wide(
+    """Both attribute tables, widened together: one row per pupil, all text.
+
+    Under the ``list`` policy, repeated values read ``a, b``.
+    """
+    wide = eav_wide(
         [
             (cat.rows("student_general", year), general),
             (cat.rows("student_sensitive", year), sensitive),
         ],
         duplicates=duplicates,
     )
+    if duplicates == "list":
+        columns = [*general.values(), *sensitive.values()]
+        wide = wide.withColumns({c: list_text(F.col(c)) for c in columns})
+    return wide
 
 
 def pupil_dim(

@@ -106,6 +106,7 @@ def derived_sql(d: Dialect) -> dict[str, str]:
         "CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE c_mktsegment END AS preferred_first_name, "
         "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex"
     )
+    curriculum_year = "CASE WHEN c_acctbal >= -900 THEN CAST(7 + c_custkey % 6 AS STRING) END"
     behaviour = (
         "CAST(event_id AS STRING) AS id, event_type AS event_type_id, {action} AS event_action_ids, "
         f"CASE WHEN {_K} % 3 = 0 THEN NULL ELSE CAST({_K} % 3 AS STRING) END "
@@ -141,13 +142,14 @@ def derived_sql(d: Dialect) -> dict[str, str]:
             "CAST(year(o_orderdate) AS INT) AS academic_year, o_custkey FROM {orders}) AS past "
             "JOIN {customer} ON o_custkey = c_custkey"
         ),
+        # Below -900 the details are empty, as for a pupil without a record.
         "student_edu_details": (
             f"SELECT {YEAR} AS academic_year, CAST(c_custkey AS STRING) AS student_id, "
-            "CASE WHEN c_acctbal BETWEEN 0 AND 200 THEN NULL ELSE 'U' || c_custkey END AS upn, "
-            "CAST(7 + c_custkey % 6 AS STRING) AS national_curriculum_year, "
-            "CAST(7 + c_custkey % 6 AS STRING) AS year_group, "
-            "CASE WHEN n_nationkey = 17 THEN NULL ELSE n_name END AS registration_group "
-            "FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_acctbal >= -900"
+            "CASE WHEN c_acctbal < -900 OR c_acctbal BETWEEN 0 AND 200 THEN NULL "
+            "ELSE 'U' || c_custkey END AS upn, "
+            f"{curriculum_year} AS national_curriculum_year, {curriculum_year} AS year_group, "
+            "CASE WHEN c_acctbal < -900 OR n_nationkey = 17 THEN NULL ELSE n_name END "
+            "AS registration_group FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"
         ),
         "student_general": (
             f"SELECT {YEAR} AS academic_year, student_id, "
@@ -209,7 +211,7 @@ def derived_sql(d: Dialect) -> dict[str, str]:
         ),
         "teaching_groups_teachers": (
             f"SELECT {YEAR} AS academic_year, CAST(p_partkey AS STRING) AS group_id, "
-            "CAST(p_partkey % 10 AS STRING) AS teacher_ids FROM {part} WHERE p_size <> 50 "
+            "CASE WHEN p_size <> 50 THEN CAST(p_partkey % 10 AS STRING) END AS teacher_ids FROM {part} "
             f"UNION ALL SELECT {YEAR}, CAST(p_partkey AS STRING), "
             "CAST((p_partkey + 1) % 10 AS STRING) FROM {part} WHERE p_size = 1"
         ),

@@ -52,6 +52,15 @@ def test_student_details(cat):
     assert rows["4"]["ethnicity"] == "Unknown.Ethnicity"
 
 
+def test_student_details_with_listed_duplicates(cat):
+    rows = {r["gfsid"]: r for r in dicts(students.student_details(cat, YEAR, duplicates="list"))}
+    assert rows["3"]["hml_band"] == "High, Low"
+    assert (rows["1"]["hml_band"], rows["1"]["wbr_pp"]) == ("High", "True")
+    assert rows["2"]["hml_band"] == "Unknown.HML"
+    with pytest.raises(Exception, match="more than one value of hml_band"):
+        students.student_details(cat, YEAR, duplicates="error").collect()
+
+
 def test_send_search(cat):
     df = students.send_search(cat, YEAR, "EXTRA")
     assert df.columns == students.SEARCH_COLUMNS
