@@ -48,9 +48,9 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> Data
     Adaptive execution may split a hot key only on the left of an outer join,
     but on both sides of an inner join, and an inner join may also broadcast
     a small left side. So the matched rows come from an inner join and the
-    unmatched ones from an anti join against the right side's distinct keys,
-    which are combined map-side. Both branches read the same left plan, and
-    its exchange is reused.
+    unmatched ones from a check against the right side's distinct keys, which
+    are combined map-side. Both branches read the same left plan, and its
+    exchange is reused.
     """
     right, condition, temps = _prepare(left, right, on)
     matched = left.join(right, condition, "inner").drop(*temps)
@@ -61,11 +61,13 @@ def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> Data
 def _without_partner(
     left: DataFrame, right: DataFrame, on: Sequence[Key], temps: list[str]
 ) -> DataFrame:
-    """Anti join against the distinct keys of ``right``.
+    """Left rows that match none of the distinct keys of ``right``.
 
     The keys are made distinct in the form a null-safe join hashes them, a
     default for null beside a null flag, so that one shuffle serves both the
-    ``distinct`` and the join.
+    ``distinct`` and the join. An outer join with a marker, as an anti join
+    would be pushed below unions, where a branch with a constant null key
+    leaves it without a key to hash.
     """
     types = {f.name: f.dataType for f in right.schema}
     pairs = list(zip([k if isinstance(k, str) else k[0] for k in on], temps))
@@ -77,11 +79,12 @@ def _without_partner(
     keys = right.select(
         *[c.alias(f"{t}_{i}") for _, t in pairs for i, c in enumerate(hashed(t, t))]
     ).distinct()
+    keys = keys.withColumn("__partner", F.lit(True))
     condition = reduce(
         Column.__and__,
         [c == F.col(f"{t}_{i}") for l, t in pairs for i, c in enumerate(hashed(l, t))],
     )
-    return left.join(keys, condition, "left_anti")
+    return left.join(keys, condition, "left").filter(F.col("__partner").isNull()).select(*left.columns)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
@@ -90,13 +93,6 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFram
     return left.join(right, condition, "inner").drop(*temps)
 
 
-def semi_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
-    """Left rows with a partner, null-safe, each once."""
-    keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])
-    right, condition, _ = _prepare(left, keys, on)
-    return left.join(right, condition, "left_semi")
-
-
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
     """Left rows without a partner, null-safe."""
     keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])

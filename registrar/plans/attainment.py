@@ -160,8 +160,10 @@ def targets(
     if ordered:
         df = df.orderBy(
             domain_order(F.col("year_group"), YEAR_GROUPS),
-            F.col("class").asc_nulls_last(),
-            F.col("surname_forename_reg").asc_nulls_last(),
+            *[
+                F.col(c).asc_nulls_last()
+                for c in ("class", "surname_forename_reg", "gfsid", "staff_code", "target")
+            ],
         )
     return df
 

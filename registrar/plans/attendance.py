@@ -166,7 +166,7 @@ def attendance_lesson(
 ) -> DataFrame:
     """Lesson marks of one day, by lesson."""
     df = _lesson_rows(cat, academic_year, (date, date))
-    return df.orderBy(F.col("lesson").asc_nulls_last()) if ordered else df
+    return _sorted(df, "lesson") if ordered else df
 
 
 def attendance_lesson_range(
@@ -174,9 +174,13 @@ def attendance_lesson_range(
 ) -> DataFrame:
     """Lesson marks over an inclusive range, by date and lesson."""
     df = _lesson_rows(cat, academic_year, (date_start, date_end))
-    if ordered:
-        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in ("date", "lesson", "lesson_id")])
-    return df
+    return _sorted(df, "date", "lesson", "lesson_id") if ordered else df
+
+
+def _sorted(df: DataFrame, *columns: str) -> DataFrame:
+    """Sort with tie-breaks: lessons are few, and equal sort keys share a task."""
+    ties = ["gfsid", "class", "teacher", "room", "lesson_mark", "lesson_notes"]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in (*columns, *ties)])
 
 
 def attendance_summary(cat: SchoolCatalog, academic_year: int) -> DataFrame:

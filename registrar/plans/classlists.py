@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrar.functions.semantics import PUPIL_DEFAULTS, impute, matches
-from registrar.operators.joins import anti_join, inner_join, left_join, left_join_many, semi_join
+from registrar.operators.joins import anti_join, inner_join, left_join, left_join_many
 from registrar.plans.common import (
     GENERAL_CLASS_LIST,
     NAMELESS,
@@ -67,7 +67,7 @@ def class_places(
         groups = groups.filter(F.col("staff_code").isin(list(staff)))
     places = left_join_many(groups, group_members(cat, academic_year), ["group_id"])
     if pupils is not None:
-        places = semi_join(places, pupils, ["student_id"])
+        places = inner_join(places, pupils.select("student_id").distinct(), ["student_id"])
     return places.select("staff_code", "subject", "class", "student_id").distinct()
 
 

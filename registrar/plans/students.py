@@ -75,7 +75,10 @@ def send_search(
     df = student_details(cat, academic_year)
     df = df.filter(matches(F.col("sen_notes"), notes_search)).select(*SEARCH_COLUMNS)
     if ordered:
-        df = df.orderBy(F.col("year_group").try_cast("double").asc_nulls_last())
+        # Year groups are few and equal sort keys share a task, so ties are broken.
+        df = df.orderBy(
+            F.col("year_group").try_cast("double").asc_nulls_last(), F.col("gfsid").asc_nulls_last()
+        )
     return df
 
 

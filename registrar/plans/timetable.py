@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from registrar.functions.semantics import WEEK_COLOURS, WEEKDAYS, YEAR_GROUPS, ifelse, in_domain, matches
 from registrar.operators.joins import inner_join, left_join, left_join_many
-from registrar.plans.common import subjects
 from registrar.plans.students import student_details
 from registrar.sources.catalog import SchoolCatalog
 

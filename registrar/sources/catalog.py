@@ -11,7 +11,7 @@ from registrar.sources.schemas import DATE_COLUMN, SOURCES, WITHOUT_YEAR
 
 
 class SchoolCatalog:
-    """Source tables of one school (or of many, if ids are unique).
+    """Source tables of one school.
 
     Give ``root`` for a directory with one dataset per table
     (``root/students``, ``root/session_marks``...), ``database`` for catalog
@@ -37,7 +37,10 @@ class SchoolCatalog:
         self._loaded: dict[tuple[str, int | None], DataFrame] = {}
 
     def load(self, name: str, academic_year: int | None = None) -> DataFrame:
-        """The stored table, before columns are conformed; resolved once."""
+        """The stored table, before columns are conformed.
+
+        Resolved once: a new catalog sees files that arrive later.
+        """
         key = (name, academic_year)
         if key not in self._loaded:
             self._loaded[key] = self._read(name, academic_year)

@@ -355,7 +355,8 @@ def derived_sql(d: Dialect) -> dict[str, str]:
         "student_classes": (
             f"SELECT {YEAR} AS academic_year, CAST(l_partkey AS STRING) AS class_id, "
             "CAST(o_custkey AS STRING) AS student_id, "
-            f"CASE WHEN l_linenumber = 7 AND l_quantity = 50 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS {d.name('start')}, "
+            "CASE WHEN l_linenumber = 7 AND l_quantity = 50 THEN NULL "
+            f"ELSE CAST(o_orderdate AS DATE) END AS {d.name('start')}, "
             "CASE l_returnflag WHEN 'A' THEN NULL WHEN 'R' THEN DATE '2023-12-15' "
             f"ELSE DATE '2024-08-31' END AS {d.name('end')} FROM {lines}"
         ),

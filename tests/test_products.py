@@ -194,7 +194,9 @@ def test_lesson_marks(cat):
     df = attendance.attendance_lesson_range(cat, YEAR, "2024-01-01", "2024-01-03")
     got = [
         tuple(r)
-        for r in df.select("date", "lesson_id", "teacher", "room", "year_group", "lesson_mark", "gfsid").collect()
+        for r in df.select(
+            "date", "lesson_id", "teacher", "room", "year_group", "lesson_mark", "gfsid"
+        ).collect()
     ]
     assert sorted(got[:4], key=repr) == [
         ("2024-01-01", "RMon:1", "Mr One", "R1, R2", "7", "/", "1"),
