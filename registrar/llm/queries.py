@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from registrar.llm import bpe, decontaminate, quality
+from registrar.llm import bpe, decontaminate, licenses, quality, rules, urls
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
     "op3_bpe": bpe.query,
+    "op4_license_scan": licenses.query,
+    "op6_quality_rules": rules.query,
     "op7_quality_ranking": quality.query,
+    "op9_url_filter": urls.query,
 }
 SQL = {
     "op1_decontamination": decontaminate.SQL,
+    "op4_license_scan": licenses.SQL,
+    "op6_quality_rules": rules.SQL,
+    "op9_url_filter": urls.SQL,
 }
