@@ -19,6 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package as a zip, unless their Python path or working folder has it."""
+    import os
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[2]
+    paths = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if context.applicationId in _shipped or any(p and Path(p).resolve() == root for p in paths):
+        return
+    target = Path(tempfile.mkdtemp(prefix="registrar-")) / "registrar.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted((root / "registrar").rglob("*.py")):
+            archive.write(source, source.relative_to(root))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; only where it is unset, as in tests, make one."""
     context = spark.sparkContext

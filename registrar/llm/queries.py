@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from registrar.llm import bpe, decontaminate, licenses, quality, rules, urls
+from registrar.llm import bpe, chunks, decontaminate, langid, licenses, quality, rules, urls
+from registrar.llm.common import ship_package
 
-QUERIES = {
+
+def _ready(query):
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_decontamination": decontaminate.query,
+    "op2_language_id": langid.query,
     "op3_bpe": bpe.query,
     "op4_license_scan": licenses.query,
+    "op5_substring_dedup": chunks.query,
     "op6_quality_rules": rules.query,
     "op7_quality_ranking": quality.query,
     "op9_url_filter": urls.query,
 }
+QUERIES = {name: _ready(query) for name, query in _QUERIES.items()}
 SQL = {
     "op1_decontamination": decontaminate.SQL,
     "op4_license_scan": licenses.SQL,
