@@ -39,16 +39,21 @@ def cut_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     So no chunk inside a text is shorter than REACH, a cut depends only on the
     bytes nearby, and after an insertion the next cuts are the old ones.
     """
-    h = gear_hash(data).astype(np.int64)
-    n = len(h)
-    padded = np.concatenate((np.full(REACH, -1), h, np.full(REACH, -1)))
-    # Maxima of REACH neighbours by doubling.
-    width, top = 1, padded
+    # Between texts stand zeros, so that no cut depends on the texts next to it.
+    gap = 32 + REACH
+    sizes = np.diff(offsets)
+    place = np.arange(len(data)) + np.repeat(np.arange(1, len(sizes) + 1) * gap, sizes)
+    spaced = np.zeros(len(data) + (len(sizes) + 1) * gap, np.uint8)
+    spaced[place] = data
+    h = np.full(len(spaced), -1, np.int64)
+    h[place] = gear_hash(spaced)[place]
+    # Maxima of REACH neighbours by doubling: top[i] is that of h[i : i + REACH].
+    width, top = 1, h
     while width * 2 <= REACH:
         top = np.maximum(top[:-width], top[width:])
         width *= 2
-    top = np.maximum(top[: len(padded) - REACH + 1], top[REACH - width : len(padded) - width + 1])
-    cut = (h > top[:n]) & (h >= top[REACH + 1 : REACH + 1 + n])
+    top = np.maximum(top[: len(h) - REACH + 1], top[REACH - width : len(h) - width + 1])
+    cut = (h[place] > top[place - REACH]) & (h[place] >= top[place + 1])
     return np.unique(np.concatenate((np.flatnonzero(cut) + 1, offsets)))
 
 

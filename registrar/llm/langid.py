@@ -17,8 +17,10 @@ STRETCH = 128
 #: Stretches that go through the network together.
 BATCH = 4_096
 #: About so many documents of each language are learnt from, one stretch of characters of each.
-PER_LANGUAGE = 1_200
-EPOCHS = 8
+PER_LANGUAGE = 800
+#: Steps of training, each on so many stretches.
+STEPS = 260
+TOGETHER = 96
 
 
 @dataclass
@@ -130,7 +132,7 @@ class Network:
 
 
 def train(
-    texts: list[bytes], languages: list[str], epochs: int = EPOCHS, seed: int = 5, rate: float = 0.02
+    texts: list[bytes], languages: list[str], steps: int = STEPS, seed: int = 5, rate: float = 0.02
 ) -> Network:
     """Learn from (text, language) pairs by Adam; every position of a text has its language as label."""
     names = sorted(set(languages))
@@ -145,22 +147,21 @@ def train(
         codes[: len(piece), i] = piece
         weight[: len(piece), i] = 1
     draw = np.random.default_rng(seed)
-    size = min(384, len(texts))
+    size = min(TOGETHER, len(texts))
     first = [np.zeros_like(x) for x in network.parts()]
     second = [np.zeros_like(x) for x in network.parts()]
-    count, total = 0, epochs * max(1, len(texts) // size)
-    for _ in range(epochs):
-        order = draw.permutation(len(texts))
-        for at in range(0, len(texts) - size + 1, size):
-            chosen = order[at : at + size]
-            w = weight[:, chosen]
-            _, gradients = network.step(codes[:, chosen], wanted[chosen], w / w.sum())
-            count += 1
-            speed = rate * (1 - 0.9 * count / total)
-            for x, g, a, b in zip(network.parts(), gradients, first, second):
-                a += 0.1 * (g - a)
-                b += 0.01 * (g * g - b)
-                x -= speed * (a / (1 - 0.9**count)) / (np.sqrt(b / (1 - 0.99**count)) + 1e-8)
+    order = draw.permutation(len(texts))
+    for count in range(1, steps + 1):
+        if len(order) < size:
+            order = draw.permutation(len(texts))
+        chosen, order = order[:size], order[size:]
+        w = weight[:, chosen]
+        _, gradients = network.step(codes[:, chosen], wanted[chosen], w / max(w.sum(), 1))
+        speed = rate * (1 - 0.9 * count / steps)
+        for x, g, a, b in zip(network.parts(), gradients, first, second):
+            a += 0.1 * (g - a)
+            b += 0.01 * (g * g - b)
+            x -= speed * (a / (1 - 0.9**count)) / (np.sqrt(b / (1 - 0.99**count)) + 1e-8)
     return network
 
 
