@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registrar.llm import bpe, chunks, decontaminate, langid, licenses, quality, rules, urls
+from registrar.llm import bpe, chunks, decontaminate, jaccard, langid, licenses, quality, rules, urls
 from registrar.llm.common import ship_package
 
 
@@ -23,6 +23,7 @@ _QUERIES = {
     "op6_quality_rules": rules.query,
     "op7_quality_ranking": quality.query,
     "op9_url_filter": urls.query,
+    "op10_jaccard_join": jaccard.query,
 }
 QUERIES = {name: _ready(query) for name, query in _QUERIES.items()}
 SQL = {
@@ -30,4 +31,5 @@ SQL = {
     "op4_license_scan": licenses.SQL,
     "op6_quality_rules": rules.SQL,
     "op9_url_filter": urls.SQL,
+    "op10_jaccard_join": jaccard.SQL,
 }
