@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registrar.llm import bpe, chunks, decontaminate, jaccard, langid, licenses, quality, rules, urls
+from registrar.llm import bpe, chunks, decontaminate, jaccard, langid, licenses, quality, rules, suffixes, urls
 from registrar.llm.common import ship_package
 
 
@@ -22,6 +22,7 @@ _QUERIES = {
     "op5_substring_dedup": chunks.query,
     "op6_quality_rules": rules.query,
     "op7_quality_ranking": quality.query,
+    "op8_suffix_dedup": suffixes.query,
     "op9_url_filter": urls.query,
     "op10_jaccard_join": jaccard.query,
 }
