@@ -58,14 +58,16 @@ def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
     return append(frame.withColumn("text", F.lit("")) if "text" not in frame.columns else frame, "decoded string", work)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, dictionary_chunks: int = DICTIONARY_CHUNKS) -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256 (ids as little-endian 32-bit) and decoded_sha256.
+def round_trip(
+    docs: DataFrame, path: str | None = None, dictionary_chunks: int = DICTIONARY_CHUNKS, ids: bool = False
+) -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 (ids as little-endian 32-bit) and decoded_sha256; with ``ids`` also the ids.
 
     Encodes and decodes each whole text in one pass, so that the ids need not
     leave the task. Null and empty texts as in ``encode``.
     """
     def fields(codec: Codec, texts: list[np.ndarray]) -> dict[str, object]:
-        return {
+        return ({"ids": [x.astype(np.int32) for x in texts]} if ids else {}) | {
             "n_tokens": [len(x) for x in texts],
             "ids_sha256": [sha256(x.astype("<u4").tobytes()) for x in texts],
             "decoded_sha256": [
@@ -74,7 +76,8 @@ def round_trip(docs: DataFrame, path: str | None = None, dictionary_chunks: int
         }
 
     return _with_codec(
-        docs, path, dictionary_chunks, "n_tokens long, ids_sha256 string, decoded_sha256 string", fields
+        docs, path, dictionary_chunks,
+        "ids array<int>, " * ids + "n_tokens long, ids_sha256 string, decoded_sha256 string", fields,
     )
 
 

@@ -132,31 +132,31 @@ def cut_spans(docs: DataFrame, spans: DataFrame, digest: bool = False) -> DataFr
     """
     names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
     keyed = docs.select(*names, text_key().alias("__key"))
-    found = spans.withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key"})
+    found = spans.withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key", "spans": "__spans"})
     joined = keyed.join(
         found, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__doc_key")), "left"
     ).drop("__doc", "__doc_key", "__key")
-    gone = F.coalesce(F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s.start), F.lit(0))
+    gone = F.coalesce(F.aggregate("__spans", F.lit(0), lambda a, s: a + s["end"] - s.start), F.lit(0))
     counted = joined.withColumns({
         "n_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"),
         "n_removed": gone.cast("long"),
-        "n_spans": F.coalesce(F.size("spans"), F.lit(0)).cast("long"),
+        "n_spans": F.coalesce(F.size("__spans"), F.lit(0)).cast("long"),
     })
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     if digest:
         # Only texts that lose something are taken apart.
         same = F.sha2(raw, 256)
-        starts = F.concat(F.array(F.lit(0)), F.col("spans.end"))
-        ends = F.concat(F.col("spans.start"), F.array(F.octet_length("text")))
+        starts = F.concat(F.array(F.lit(0)), F.col("__spans.end"))
+        ends = F.concat(F.col("__spans.start"), F.array(F.octet_length("text")))
         kept = F.array_join(F.zip_with(starts, ends, lambda s, e: F.hex(F.substr(raw, s + 1, e - s))), "")
         return counted.withColumn(
             "kept_sha256", F.when(F.col("n_spans") == 0, same).otherwise(F.sha2(F.unhex(kept), 256))
-        ).drop("text", "spans")
+        ).drop("text", "__spans")
 
     def cut(batch: pa.RecordBatch) -> dict[str, object]:
         texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
         out = []
-        for text, found in zip(texts, batch.column(batch.schema.get_field_index("spans")).to_pylist()):
+        for text, found in zip(texts, batch.column(batch.schema.get_field_index("__spans")).to_pylist()):
             if text is not None and found:
                 raw, at, kept = text.encode(), 0, []
                 for span in found:

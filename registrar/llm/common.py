@@ -75,6 +75,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def set_aside(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with columns of these names renamed, to come back with ``put_back``."""
+    return df.withColumnsRenamed({c: f"__own_{c}" for c in df.columns if c in names})
+
+
+def put_back(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The original columns, in their order and with their names."""
+    return df.select(*[F.col(f"__own_{c}").alias(c) if f"__own_{c}" in df.columns else F.col(c) for c in columns])
+
+
 def append(
     df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:

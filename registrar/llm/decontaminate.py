@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from registrar.llm.common import Words, append, cut_lineage, raw_text, runs, sha256, text_key
+from registrar.llm.common import Words, append, cut_lineage, put_back, raw_text, runs, set_aside, sha256, text_key
 
 WINDOW = 13
 #: Broadcast at most so many benchmark windows (some 200 bytes each); more are joined by shuffle.
@@ -61,10 +62,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
     ``action`` is ``documents`` (contaminated rows go, others stay as they
     are) or ``spans`` (all rows stay; the bytes of each run of hit words go).
     """
-    names = docs.columns
-    found = scan(docs, benchmark)
+    added = T._parse_datatype_string(FIELDS).names
+    found = scan(set_aside(docs, added), benchmark)
     if action == "documents":
-        return found.filter(~F.col("contaminated")).select(*names)
+        return put_back(found.filter(~F.col("contaminated")), docs.columns)
     if action != "spans":
         raise ValueError(f"unknown action {action!r}")
 
@@ -82,7 +83,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
             out.append(text)
         return {"text": out}
 
-    return append(found, "text string", cut).select(*names)
+    return put_back(append(found, "text string", cut), docs.columns)
 
 
 def _windows(benchmark: DataFrame, n: int) -> DataFrame:

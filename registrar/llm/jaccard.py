@@ -333,8 +333,9 @@ def query(spark, sf_dir) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_duplicates(docs)
-    keyed = docs.select("doc_id", text_key().alias("key"))
-    return keyed.join(found, ["doc_id", "key"]).select("doc_id", "class_id", "n_links", "n_copies", "n_shingles")
+    keyed = docs.select(F.col("doc_id").alias("__doc"), text_key().alias("__key"))
+    on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))
+    return keyed.join(found, on).select("doc_id", "class_id", "n_links", "n_copies", "n_shingles")
 
 
 SQL = rf"""
