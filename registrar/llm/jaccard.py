@@ -86,7 +86,7 @@ def near_duplicates(docs: DataFrame, n: int = N, least: int = LEAST, recall: flo
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
         F.col("n_shingles").cast("long").alias("n_shingles"),
-        F.coalesce(own.eqNullSafe(F.col("first")), F.lit(True)).alias("keeper"),
+        (F.col("first").isNull() | own.eqNullSafe(F.col("first"))).alias("keeper"),
     )
 
 
