@@ -1,3 +1,4 @@
+-- Fixed values: limits, ages and notes of the bands.
 SELECT doc_id AS text, CAST(types AS INT) AS types, CAST(tokens AS INT) AS tokens,
   CAST(words AS INT) AS words, CAST(sentences AS INT) AS sentences,
   mean_words_ps, mean_syllables_pw, flesch,

@@ -35,8 +35,8 @@ def paste(*parts: Column | str) -> Column:
 
 
 def matches(column: Column, pattern: str, ignore_case: bool = True) -> Column:
-    """Regex search that is false, not null, on a missing value."""
-    flagged = f"(?i)(?:{pattern})" if ignore_case else pattern
+    """Regex search that is false, not null, on a missing value; case is folded for all letters."""
+    flagged = f"(?iu)(?:{pattern})" if ignore_case else pattern
     return F.coalesce(column.rlike(flagged), F.lit(False))
 
 

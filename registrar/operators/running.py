@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from registrar.operators.joins import left_join
 
-CHUNKS = 64
+#: Keys that each chunk's cut point is chosen from, so that chunks come out near their mean.
+KEYS_PER_CHUNK = 16
 
 
 def running_total(
@@ -18,18 +19,20 @@ def running_total(
     order: Sequence[str],
     value: str,
     output: str,
-    chunks: int = CHUNKS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Cumulative sum of ``value`` per ``by`` group, in ``order`` (nulls last).
 
     ``order`` must be unique inside a group. A plain window would sort each
     group in a single task, and there are only a handful of groups; here the
-    rows are cut into at most ``chunks + 1`` ordered chunks, summed inside each chunk,
-    and the totals of the earlier chunks are added. The cut points are a
-    hash-chosen sample of the order keys, so they are the same in every run
-    and in every retry of a lost task. Only the per-chunk totals, at most
-    ``chunks + 1`` rows for each group, meet in one task.
+    rows are cut into at most ``chunks + 1`` ordered chunks (by default as many
+    as the session has shuffle partitions), summed inside each chunk,
+    and the totals of the earlier chunks are added. The cut points are
+    every KEYS_PER_CHUNK-th of a hash-chosen sample of the order keys, so they are
+    the same in every run and in every retry of a lost task. Only the per-chunk
+    totals, at most ``chunks + 1`` rows for each group, meet in one task.
     """
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut_rows = ordered_chunks(df, order, chunks)
     ordering = [F.col(c).asc_nulls_last() for c in order]
     inside = (
@@ -56,11 +59,17 @@ def ordered_chunks(df: DataFrame, order: Sequence[str], chunks: int) -> DataFram
     key_parts = [p for c in order for p in (F.col(c).isNull(), F.col(c))]
     key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(key_parts)])
     digest = F.xxhash64(*order)
-    cuts = (
+    sample = (
         df.select(key.alias("key"), digest.alias("digest"))
-        .groupBy(F.pmod("digest", F.lit(chunks)))
+        .groupBy(F.pmod("digest", F.lit(chunks * KEYS_PER_CHUNK)))
         .agg(F.min_by("key", "digest").alias("key"))
-        .agg(F.array_sort(F.collect_list("key")))
+        .agg(F.array_sort(F.collect_list("key")).alias("keys"))
     )
+    # The array holds at most chunks * KEYS_PER_CHUNK keys; every 1/chunks-th of it is a cut.
+    step = F.size("keys") / F.lit(chunks)
+    cuts = sample.select(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(chunks), F.size("keys"))),
+        lambda i: F.get("keys", F.least((i * step).cast("int"), F.size("keys") - 1)),
+    )))
     chunk = F.size(F.filter("__cuts", lambda cut: cut <= key))
     return df.withColumn("__cuts", cuts.scalar()).withColumn("__chunk", chunk).drop("__cuts")

@@ -17,7 +17,7 @@ from registrar.functions.semantics import (
     na_text,
 )
 from registrar.operators.collapse import repeated_list_text
-from registrar.operators.joins import left_join, left_join_many, natural_left_join
+from registrar.operators.joins import inner_join, left_join, left_join_many, natural_left_join
 from registrar.operators.running import running_total
 from registrar.plans.attendance import attendance_session_range
 from registrar.plans.common import (
@@ -46,12 +46,17 @@ DEMOGRAPHIC_COLUMNS = DETAIL_COLUMNS[DETAIL_COLUMNS.index("ethnicity"):]
 _GROUP = ["event_id", "student_id"]
 
 
-def _event_rows(cat: SchoolCatalog, academic_year: int, dates: tuple[str, str]) -> DataFrame:
+def _event_rows(
+    cat: SchoolCatalog, academic_year: int, dates: tuple[str, str], classified: str | None = None
+) -> DataFrame:
     """Events with everything that hangs on them except pupil and class.
 
-    All the right sides are small lists. One row per event and pupil, with
-    the set of its (immediate action, follow-up) pairs in ``actions``: at most
-    as many as the school's two action lists have combinations.
+    One row per event and pupil, with the set of its (immediate action,
+    follow-up) pairs in ``actions``: at most as many as the school's two
+    action lists have combinations. They are grouped on the event's own
+    columns; the small lists (types, staff, calendar) come after the shuffle.
+    With ``classified`` only events of which some row's classification matches
+    the pattern are read any further.
     """
     events = cat.rows("behaviour_events", academic_year, dates=dates).select(
         F.col("id").alias("event_id"), "event_type_id", "event_action_ids",
@@ -66,6 +71,11 @@ def _event_rows(cat: SchoolCatalog, academic_year: int, dates: tuple[str, str])
     classification = cat.rows("behaviour_classification", academic_year).select(
         F.col("id").alias("event_classification_id"), F.col("name").alias("event_classification")
     )
+    types = left_join(types, classification, ["event_classification_id"]).distinct()
+    if classified is not None:
+        named = types.filter(matches(F.col("event_classification"), classified))
+        found = inner_join(events.select(*_GROUP, "event_type_id"), named.select("event_type_id").distinct(), ["event_type_id"])
+        events = inner_join(events, found.select(*_GROUP).distinct(), _GROUP)
     immediate = cat.rows("behaviour_immediate", academic_year).select(
         F.col("id").alias("event_action_ids"), F.col("name").alias("immediate"),
         F.col("type").alias("immediate_type"),
@@ -81,15 +91,15 @@ def _event_rows(cat: SchoolCatalog, academic_year: int, dates: tuple[str, str])
         F.col("date").alias("event_date"), F.col("week").alias("school_week"),
         F.col("day_type_code").alias("day_type"),
     )
-    df = left_join(events, types, ["event_type_id"])
-    df = left_join(df, immediate, ["event_action_ids"])
+    df = left_join(events, immediate, ["event_action_ids"])
     df = left_join(df, followup, ["event_followup_type_ids"])
-    df = left_join(df, classification, ["event_classification_id"])
-    df = left_join(df, staff, ["created_by"])
-    df = left_join(df, calendar, ["event_date"])
     pair = ["immediate", "immediate_type", "followup", "followup_type"]
-    event = [c for c in df.columns if c not in (*pair, "event_action_ids", "event_followup_type_ids")]
-    return df.groupBy(*event).agg(F.collect_set(F.struct(*pair)).alias("actions"))
+    own = [c for c in df.columns if c not in (*pair, "event_action_ids", "event_followup_type_ids")]
+    df = df.groupBy(*own).agg(F.collect_set(F.struct(*pair)).alias("actions"))
+    # The lists are distinct, so the rows stay so.
+    df = left_join(df, types, ["event_type_id"])
+    df = left_join(df, staff.distinct(), ["created_by"])
+    return left_join(df, calendar.distinct(), ["event_date"])
 
 
 def _class_lookup(cat: SchoolCatalog, academic_year: int) -> DataFrame:
@@ -153,26 +163,48 @@ def behaviour_events_range(
     stood on, as immediate actions and follow-ups multiply each other;
     ``distinct_actions`` lists each once.
     """
-    events = _event_rows(cat, academic_year, (date_start, date_end))
+    return _behaviour(cat, academic_year, (date_start, date_end), distinct_actions)
+
+
+def _behaviour(
+    cat: SchoolCatalog,
+    academic_year: int,
+    dates: tuple[str, str],
+    distinct_actions: bool = False,
+    classified: str | None = None,
+) -> DataFrame:
+    events = _event_rows(cat, academic_year, dates, classified)
     lookup = _class_lookup(cat, academic_year)
-    pupils = pupil_dim(
-        cat,
-        academic_year,
-        ["upn", "national_curriculum_year", "registration_group"],
-        GENERAL_FULL,
-        SENSITIVE_FULL,
-    )
-    lists = _action_lists(_with_copies(events, lookup, pupils), distinct_actions)
+    identity = ["upn", "national_curriculum_year", "registration_group"]
+    # An attribute row more or less does not change how often a pupil stands on roll and details.
+    narrow = pupil_dim(cat, academic_year, identity)
+    lists = _action_lists(_with_copies(events, lookup, narrow), distinct_actions)
+    df = _facts(events, lookup, lists)
+    if classified is not None:
+        df = df.filter(matches(F.col("event_classification"), classified))
+    pupils = pupil_dim(cat, academic_year, identity, GENERAL_FULL, SENSITIVE_FULL)
+    # Distinct before the wide pupil columns, which are distinct themselves.
+    df = left_join(df, _pupil_columns(pupils), ["student_id"])
+    df = df.withColumns(pupil_texts()).withColumnRenamed("student_id", "gfsid")
+    return df.select(*EVENT_COLUMNS, *DEMOGRAPHIC_COLUMNS)
+
 
-    # Only events without a class of their own look one up; the lookup is
-    # distinct, so a pupil's subject has at most as many rows as classes.
+def _facts(events: DataFrame, lookup: DataFrame, lists: DataFrame | None) -> DataFrame:
+    """Distinct rows of event, class and pupil id, as text, with the action lists if given.
+
+    Only events without a class of their own look one up; the lookup is
+    distinct, so a pupil's subject has at most as many rows as classes.
+    """
     wanted = F.when(F.col("group_name").isNull(), F.lit(True)).otherwise(F.lit(False))
     df = left_join(
         events.drop("actions").withColumn("looked_up", wanted),
         lookup.withColumn("looked_up", F.lit(True)),
         ["subject_code", "student_id", "looked_up"],
     )
-    df = left_join(df, lists, _GROUP)
+    actions = []
+    if lists is not None:
+        df = left_join(df, lists, _GROUP)
+        actions = ["action_immediate", "action_followup"]
     df = df.select(
         "event_id",
         "staff",
@@ -188,16 +220,12 @@ def behaviour_events_range(
         "event_code",
         "event_name",
         "event_classification",
-        "action_immediate",
-        "action_followup",
+        *actions,
         F.col("significance").alias("polarity"),
         "score",
         "school_notes",
     )
-    # Distinct before the wide pupil columns, which are distinct themselves.
-    df = left_join(na_cells_to_null(all_text(df)).distinct(), _pupil_columns(pupils), ["student_id"])
-    df = df.withColumns(pupil_texts()).withColumnRenamed("student_id", "gfsid")
-    return df.select(*EVENT_COLUMNS, *DEMOGRAPHIC_COLUMNS)
+    return na_cells_to_null(all_text(df)).distinct()
 
 
 def _with_copies(events: DataFrame, lookup: DataFrame, pupils: DataFrame) -> DataFrame:
@@ -278,8 +306,9 @@ def detentions(
     cat: SchoolCatalog, academic_year: int, date_start: str, date_end: str
 ) -> DataFrame:
     """Behaviour events classified as any kind of detention."""
-    events = behaviour_events_range(cat, academic_year, date_start, date_end)
-    found = events.filter(matches(F.col("event_classification"), DETENTION_PATTERN))
+    found = _behaviour(
+        cat, academic_year, (date_start, date_end), classified=DETENTION_PATTERN
+    )
     return found.withColumns(
         {
             "year_group": in_domain(F.col("year_group"), YEAR_GROUPS),
@@ -293,12 +322,19 @@ def detentions_cumulative(
 ) -> DataFrame:
     """Detentions per year group and day, with a running total.
 
-    Counted first: the window then holds one row per day of the range for
-    each year group, however many events there are.
+    Counted first, on rows without the action lists and the pupil attributes,
+    which have one value each for an event and pupil: the window then holds one row
+    per day of the range for each year group, however many events there are.
     """
+    events = _event_rows(cat, academic_year, (date_start, date_end), DETENTION_PATTERN)
+    facts = _facts(events, _class_lookup(cat, academic_year), None)
+    facts = facts.filter(matches(F.col("event_classification"), DETENTION_PATTERN))
+    pupils = pupil_dim(
+        cat, academic_year, ["upn", "national_curriculum_year", "registration_group"]
+    ).select("student_id", F.nullif("national_curriculum_year", F.lit("NA")).alias("year_group"))
     counts = (
-        detentions(cat, academic_year, date_start, date_end)
-        .groupBy("year_group", "date")
+        left_join(facts.select("student_id", "date"), pupils, ["student_id"])
+        .groupBy(in_domain(F.col("year_group"), YEAR_GROUPS).alias("year_group"), F.to_date("date").alias("date"))
         .agg(F.count("*").alias("n"))
     )
     window = (

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar.functions import text as tx
+from registrar.sources.textdir import read_text_dir
 
 # Lowest score of each band, reading age, note.
 BANDS = [
@@ -68,6 +69,13 @@ def readability(documents: DataFrame, return_full: bool = False) -> DataFrame:
     return df if return_full else df.select("text", "flesch", "age", "notes")
 
 
+def readability_dir(
+    spark: SparkSession, path: str, return_full: bool = False, glob: str = "*", encoding: str = "ISO-8859-1"
+) -> DataFrame:
+    """Readability of every file of a directory, by file name."""
+    return readability(read_text_dir(spark, path, glob, encoding), return_full)
+
+
 def corpus_means(documents: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counts and means over groups of documents, from exact sums.
 

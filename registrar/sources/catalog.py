@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrar.sources.schemas import DATE_COLUMN, SOURCES, WITHOUT_YEAR
 
@@ -70,20 +71,36 @@ class SchoolCatalog:
         if year_groups is not None:
             df = df.filter(F.col("year_group").isin(list(year_groups)))
         if dates is not None:
-            first, last = (F.to_date(F.lit(d)) for d in dates)
-            df = df.filter(F.col(DATE_COLUMN[name]).between(first, last))
+            df = df.filter(in_days(df, DATE_COLUMN[name], *dates))
         return conform(df, name)
 
 
+def in_days(df: DataFrame, column: str, first: str, last: str) -> Column:
+    """Whether a stored date, time or text falls on one of the days, both ends included.
+
+    A comparison of the stored column with literals, so that partitions are
+    pruned and the predicate is pushed down: a time is compared with the
+    midnights of the first day and of the day after the last. Text is read
+    as a date; what is no date falls on no day.
+    """
+    start, end = (F.to_date(F.lit(d)) for d in (first, last))
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return (value >= start.cast(kind)) & (value < F.date_add(end, 1).cast(kind))
+    if isinstance(kind, T.StringType):
+        value = value.try_cast("date")
+    return value.between(start, end)
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select the declared columns; an absent one becomes null."""
+    """Select the declared columns; an absent one and unreadable text become null."""
     columns = []
     present = {f.name: f.dataType for f in df.schema}
     for field in SOURCES[name]:
         if field.name not in present:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
         elif present[field.name] != field.dataType:
-            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            columns.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
         else:
             columns.append(field.name)
     if "academic_year" in present and name not in WITHOUT_YEAR:

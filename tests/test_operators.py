@@ -73,3 +73,13 @@ def test_non_empty_columns(spark):
     )
     # All null or all empty is dropped; a mix of the two is not.
     assert non_empty_columns(df, ["a", "b", "c", "d"]) == ["c", "d"]
+
+
+@pytest.mark.parametrize("chunks", [16, 64, 1000])
+def test_chunks_stay_near_their_mean(spark, chunks):
+    from registrar.operators.running import ordered_chunks
+
+    df = spark.range(40_000).selectExpr("id", "sha1(CAST(id AS STRING)) AS name")
+    sizes = [r["count"] for r in ordered_chunks(df, ["name", "id"], chunks).groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 40_000 and chunks * 0.8 <= len(sizes) <= chunks + 1
+    assert max(sizes) <= 3 * 40_000 / chunks

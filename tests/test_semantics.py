@@ -111,3 +111,10 @@ def test_pivot_policies(spark):
 def test_impute_only_nulls(spark):
     df = column(spark, [None, "k"])
     assert values(sem.impute(df, {"x": "Unknown"}), "x") == ["Unknown", "k"]
+
+
+def test_matches_folds_the_case_of_all_letters(spark):
+    from registrar.functions.semantics import matches
+
+    df = spark.createDataFrame([("MÜLLER Ann (7A)",), ("ÉLODIE",), ("Muller",), (None,)], "name string")
+    assert [r[0] for r in df.select(matches(F.col("name"), "müller|élo")).collect()] == [True, True, False, False]

@@ -71,3 +71,49 @@ def test_catalog_tables(spark):
     with pytest.raises(KeyError):
         SchoolCatalog(spark).load("teachers")
     assert SchoolCatalog(spark, tables={"teachers": spark.table("teachers")}).rows("teachers").count() == 2
+
+
+@pytest.mark.parametrize("kind", ["DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "STRING"])
+def test_days_of_dates_times_and_text(spark, kind):
+    times = ["2024-01-14 23:59:59", "2024-01-15 00:00:00", "2024-01-15 08:30:00", "2024-01-16 23:59:59",
+             "2024-01-17 00:00:00", None]
+    rows = [(str(i), t) for i, t in enumerate(times)]
+    stored = spark.createDataFrame(rows, "student_id string, t string").selectExpr(
+        "student_id", "student_id AS session_mark_id", "'AM' AS session", "'x' AS session_minutes_late",
+        f"CAST({'substr(t, 1, 10)' if kind == 'STRING' else 't'} AS {kind}) AS date",
+    )
+    if kind == "STRING":
+        stored = stored.unionByName(stored.limit(1).selectExpr("'9' AS student_id", "session_mark_id", "session", "session_minutes_late", "'soon' AS date"))
+    cat = SchoolCatalog(spark, tables={"session_marks": stored})
+    ids = lambda *days: sorted(r.student_id for r in cat.rows("session_marks", 2023, dates=days).collect())
+    assert ids("2024-01-15", "2024-01-15") == ["1", "2"]
+    assert ids("2024-01-15", "2024-01-16") == ["1", "2", "3"]
+    # Unreadable numbers become null.
+    assert {r.session_minutes_late for r in cat.rows("session_marks", 2023).collect()} == {None}
+
+
+def test_times_are_pushed_down(spark, tmp_path):
+    spark.sql("SELECT '1' AS student_id, TIMESTAMP'2024-01-15 08:30:00' AS date").write.parquet(str(tmp_path / "m"))
+    cat = SchoolCatalog(spark, tables={"session_marks": spark.read.parquet(str(tmp_path / "m"))})
+    plan = cat.rows("session_marks", 2023, dates=("2024-01-15", "2024-01-15"))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters")[1]
+    assert "GreaterThanOrEqual(date" in pushed and "LessThan(date" in pushed
+
+
+def test_year_group_partitions_read_as_numbers(spark, tmp_path):
+    rows = [("1", "7", "a"), ("2", "11", "b")]
+    spark.createDataFrame(rows, "student_id string, year_group string, grade string").write.partitionBy("year_group").parquet(str(tmp_path / "g"))
+    cat = SchoolCatalog(spark, tables={"exam_results": spark.read.parquet(str(tmp_path / "g"))})
+    got = cat.rows("exam_results", 2023, year_groups=["11"]).collect()
+    assert [(r.student_id, r.year_group, r.grade) for r in got] == [("2", "11", "b")]
+
+
+def test_readability_of_a_directory(spark, tmp_path):
+    from registrar.plans.readability import readability, readability_dir
+
+    texts = {"one.txt": "The cat sat on the mat. It was happy.", "two.txt": "Considerable institutional responsibility."}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    made = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    for full in (False, True):
+        assert sorted(readability_dir(spark, str(tmp_path), full).collect()) == sorted(readability(made, full).collect())
