@@ -83,3 +83,29 @@ def test_chunks_stay_near_their_mean(spark, chunks):
     sizes = [r["count"] for r in ordered_chunks(df, ["name", "id"], chunks).groupBy("__chunk").count().collect()]
     assert sum(sizes) == 40_000 and chunks * 0.8 <= len(sizes) <= chunks + 1
     assert max(sizes) <= 3 * 40_000 / chunks
+
+
+def test_two_dates_of_a_lesson_stand_for_all(spark):
+    """The timetable's shortened dates against all dates of the calendar, some of which it lists twice."""
+    import datetime as dt
+
+    from registrar.plans.timetable import _slot_dates, _slots
+
+    draw = random.Random(11)
+    first = dt.date(2024, 1, 1)
+    days = [(first + dt.timedelta(days=i), 1 + i // 7 % 2, str(i % 7)) for i in range(42)]
+    open_days = spark.createDataFrame(days + draw.sample(days, 12), "date date, week int, day string")
+    periods = [(f"p{i}", f"l{min(i, 4)}", "l", str(i % 3), 1 + i % 2) for i in range(7)]
+    periods = spark.createDataFrame(periods, "period_id string, lesson_id string, period string, day string, week int")
+    of = {r.period_id: r.lesson_id for r in periods.collect()}
+    rows = [
+        (draw.choice(["u1", "u2", None]), of[p := f"p{draw.randrange(7)}"], p, f"c{draw.randrange(3)}", draw.choice([0, 1, None]),
+         draw.choice([None, None, "R1", "R2"]), draw.random() < 0.8, draw.choice([None, first, first + dt.timedelta(days=9)]))
+        for _ in range(60)
+    ]
+    rows = spark.createDataFrame(
+        rows, "upn string, lesson_id string, period_id string, class_id string, room_number int, room string, live boolean, student_start date"
+    )
+    every = periods.join(open_days, ["week", "day"]).select("period_id", "lesson_id", "date")
+    found = [sorted(map(repr, set(_slots(rows, dates).collect()))) for dates in (_slot_dates(open_days, periods), every)]
+    assert found[0] == found[1] and len(found[0]) > 20
