@@ -118,14 +118,14 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about BLOCK_BYTES of text each."""
+def blocks(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each."""
     if batch.num_rows == 0:
         return
     _, offsets = raw_text(batch.column(batch.schema.get_field_index(column)))
     start = 0
     while start < batch.num_rows:
-        end = int(np.searchsorted(offsets, offsets[start] + BLOCK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1
         end = min(max(end, start + 1), batch.num_rows)
         yield batch.slice(start, end - start)
         start = end

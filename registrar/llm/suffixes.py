@@ -31,6 +31,10 @@ ANCHOR = 32
 REACH = LENGTH - ANCHOR + 1
 #: Most bytes that a suffix array is built of at once: three numbers up to it fit in 63 bits.
 ARRAY_BYTES = (1 << 21) - 8
+#: Buckets are put together up to so many bytes, which a core's cache holds.
+PACKED_BYTES = 300_000
+#: Bytes of text whose units are made at once, for the same reason.
+UNIT_BLOCK = 500_000
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -49,7 +53,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     sample = np.concatenate((ones, twos))
     # Sort the sampled triples and name them.
     triples = (s[sample] << (bits + bits)) | (s[sample + 1] << bits) | s[sample + 2]
-    order = np.argsort(triples, kind="stable")
+    order = np.argsort(triples)
     ordered = triples[order]
     names = np.empty(len(sample), np.int64)
     names[order] = np.concatenate(([1], 1 + np.cumsum(ordered[1:] != ordered[:-1])))
@@ -62,7 +66,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     # Sort the remaining suffixes by their first symbol and the rank behind it.
     rest = np.arange(0, n, 3)
     keys = (s[rest] << bits) | rank[rest + 1]
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     rest, keys = rest[order], keys[order]
     # Merge: how many sampled suffixes of either kind are smaller than each remaining one.
     is_one = sorted_sample % 3 == 1
@@ -83,47 +87,63 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Units of the texts: first string, one past the last, text, hash of the anchor (places in ``data``)."""
-    sizes = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
-    at = ranges(offsets[:-1], sizes)
-    if not len(at):
-        return at, at, at, at.astype(np.uint64)
-    h = data.astype(np.uint64) + np.uint64(1)
-    h *= np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(31)
-    width, factor = 1, 0xD6E8FEB86659FD93
+    sizes = np.diff(offsets)
+    if len(data) < LENGTH or sizes.max() < LENGTH:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.astype(np.uint64)
+    h = (data.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    width, factor = 1, 0x85EBCA6B
     while width < ANCHOR:
-        h = h[:-width] * np.uint64(factor) + h[width:]
-        width, factor = width * 2, factor * factor % 2**64
-    h = mix(h)
+        h = h[:-width] * np.uint32(factor) + h[width:]
+        width, factor = width * 2, factor * factor & 0xFFFFFFFF
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(15)
     least, width = h, 1
     while width * 2 <= REACH:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     least = np.minimum(least[: len(least) - (REACH - width)], least[REACH - width :])
-    key = least[at]
-    fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1)))
-    edge = np.flatnonzero(fresh)
-    low, key = at[edge], key[edge]
-    high = at[np.append(edge[1:], len(at)) - 1] + 1
-    # A run of strings with one least hash is a unit up to its leftmost anchor; if it goes on
-    # beyond, as in periodic text, the hash stands there again.
+    # Runs of strings with one least hash; a run begins at a text's first string, and
+    # another after its last one, which holds the places that are no strings.
+    fresh = np.empty(len(least), bool)
+    fresh[0] = True
+    np.not_equal(least[1:], least[:-1], out=fresh[1:])
+    edges = np.concatenate((offsets[:-1], np.maximum(offsets[1:] - LENGTH + 1, offsets[:-1])))
+    fresh[edges[edges < len(least)]] = True
+    low = np.flatnonzero(fresh)
+    high = np.append(low[1:], len(least))
+    doc = np.searchsorted(offsets, low, side="right") - 1
+    real = low + LENGTH <= offsets[doc + 1]
+    low, high = low[real], high[real]
+    # A run is a unit up to its leftmost anchor; if it goes on beyond, as in periodic text,
+    # the hash stands there again.
     anchor = np.empty(len(low), np.int64)
     step = np.arange(REACH)
-    for i in range(0, len(low), 20_000):
-        anchor[i : i + 20_000] = low[i : i + 20_000] + (
-            h[low[i : i + 20_000, None] + step] == key[i : i + 20_000, None]
-        ).argmax(1)
+    for i in range(0, len(low), 10_000):
+        part = low[i : i + 10_000]
+        anchor[i : i + 10_000] = part + (h[part[:, None] + step] == least[part][:, None]).argmax(1)
     again = np.flatnonzero(high - 1 > anchor)
     if len(again):
-        lows, highs, keys = [np.delete(low, again)], [np.delete(high, again)], [np.delete(key, again)]
+        lows, highs, anchors = [np.delete(low, again)], [np.delete(high, again)], [np.delete(anchor, again)]
         for i in again.tolist():
-            stands = low[i] + np.flatnonzero(h[low[i] : high[i] + REACH - 1] == key[i])
+            stands = low[i] + np.flatnonzero(h[low[i] : high[i] + REACH - 1] == least[low[i]])
             cuts = stands[stands < high[i] - 1] + 1
             lows.append(np.append(low[i], cuts))
             highs.append(np.append(cuts, high[i]))
-            keys.append(np.full(len(cuts) + 1, key[i]))
-        low, high, key = (np.concatenate(x) for x in (lows, highs, keys))
-    return low, high, np.searchsorted(offsets, low, side="right") - 1, key
+            anchors.append(stands[np.searchsorted(stands, lows[-1])])
+        low, high, anchor = (np.concatenate(x) for x in (lows, highs, anchors))
+    name = np.empty(len(anchor), np.uint64)
+    step = np.arange(ANCHOR)
+    for i in range(0, len(anchor), 20_000):
+        words = data[anchor[i : i + 20_000, None] + step].view(np.uint64)
+        name[i : i + 20_000] = mix((mix(words + _SALT) * _FACTOR).sum(1, dtype=np.uint64))
+    return low, high, np.searchsorted(offsets, low, side="right") - 1, name
+
+
+_SALT = np.random.default_rng(20240613).integers(1, 2**63, ANCHOR // 8, dtype=np.uint64)
+_FACTOR = np.random.default_rng(20240614).integers(1, 2**62, ANCHOR // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -149,31 +169,38 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     ).withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key"})
     on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__doc_key"))
     joined = keyed.join(survivors, on).select("doc_id", "__key", "text", "anchors")
-    schema = f"doc_id {kind}, key long, low int, count int, anchor long, digest binary"
-    full = joined.mapInArrow(lambda b: _units(b, True), schema + ", piece binary")
-    slim = joined.mapInArrow(lambda b: _units(b, False), schema)
-    place = F.struct("doc_id", "key", "low")
-    first = full.groupBy("anchor", "digest").agg(
-        F.min(F.struct("doc_id", "key", "low", "count", "piece")).alias("first"),
-        (F.max(place) > F.min(place)).alias("again"),
+    found_units = joined.mapInArrow(
+        _units, f"doc_id {kind}, key long, place long, anchor long, high long, low long"
     )
-    first = cut_lineage(first.select("anchor", "digest", "first.*", "again"))
+    name, own = ["anchor", "high", "low"], F.struct("doc_id", "key", "place")
+    first = found_units.groupBy(*name).agg(F.min(own).alias("first"), F.count("*").alias("count"))
+    start, size = F.shiftright("place", 8).cast("int"), F.col("place").bitwiseAND(255).cast("int")
     copies = (
-        slim.join(
-            first.filter("again").select("anchor", "digest", F.struct("doc_id", "key", "low").alias("first")),
-            ["anchor", "digest"],
-        )
-        .filter(place != F.col("first"))
-        .select("doc_id", "key", F.col("low").alias("start"), (F.col("low") + F.col("count") + LENGTH - 1).alias("end"))
+        found_units.join(first.filter("count > 1").select(*name, "first"), name)
+        .filter(own > F.col("first"))
+        .select("doc_id", "key", start.alias("start"), (start + size + LENGTH - 1).alias("end"))
+    )
+    # Buckets: the first units of anchors that have several. Their bytes are fetched from the texts.
+    # The filter holds for every row; it keeps the aggregate the same in both uses, so that it runs once.
+    singles = first.filter("count > 0").select("anchor", "first.*")
+    sized = (
+        singles.groupBy("anchor").agg(F.count("*").alias("units"), F.sum(size + LENGTH - 1).alias("bytes"))
+        .filter("units > 1").select("anchor", (F.col("bytes") > ARRAY_BYTES).alias("large"))
+    )
+    asked = (
+        singles.join(sized, "anchor").groupBy("doc_id", "key")
+        .agg(F.collect_list(F.struct("place", "anchor", "large")).alias("asked"))
+        .withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key"})
+    )
+    pieces = keyed.join(asked, on).select("doc_id", "__key", "text", "asked").mapInArrow(
+        _pieces, f"anchor long, doc_id {kind}, key long, low int, count int, piece binary, large boolean"
     )
-    sized = first.groupBy("anchor").agg(F.count("*").alias("units"), F.sum(F.octet_length("piece")).alias("bytes"))
-    buckets = first.join(sized.filter("units > 1"), "anchor")
     spans = f"doc_id {kind}, key long, start int, end int"
     ordered = (
-        buckets.filter(F.col("bytes") <= ARRAY_BYTES).select("anchor", "doc_id", "key", "low", "count", "piece")
-        .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_buckets, spans)
+        pieces.filter("NOT large").drop("large").repartition("anchor").sortWithinPartitions("anchor")
+        .mapInArrow(_sorted_buckets, spans)
     )
-    strings = buckets.filter(F.col("bytes") > ARRAY_BYTES).mapInArrow(
+    strings = pieces.filter("large").mapInArrow(
         _strings, f"doc_id {kind}, key long, start int, digest binary"
     )
     at = F.struct("doc_id", "key", "start")
@@ -210,7 +237,7 @@ def _merged(spans: list[dict[str, int]]) -> list[dict[str, int]]:
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in blocks(whole):
+        for batch in blocks(whole, most=UNIT_BLOCK):
             _, _, doc, key = units(*raw_text(batch.column(1)))
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
@@ -219,32 +246,65 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _units(batches: Iterator[pa.RecordBatch], pieces: bool) -> Iterator[pa.RecordBatch]:
-    """The units whose anchor is among the text's survivors."""
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The units whose anchor is among the text's survivors; place is first string * 256 + number of strings."""
     for whole in batches:
-        for batch in blocks(whole):
+        for batch in blocks(whole, most=UNIT_BLOCK):
             data, offsets = raw_text(batch.column(2))
-            low, high, doc, key = units(data, offsets)
+            low, high, doc, name = units(data, offsets)
             wanted = batch.column(3)
             values = wanted.flatten().to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            pairs = np.unique(mix(values.view(np.uint64) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            keep = np.isin(mix(key + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), pairs)
-            low, high, doc, key = low[keep], high[keep], doc[keep], key[keep]
+            step = np.uint64(0x9E3779B97F4A7C15)
+            pairs = np.sort(values.view(np.uint64) + owner.astype(np.uint64) * step)
+            mine = name + doc.astype(np.uint64) * step
+            keep = pairs[np.minimum(np.searchsorted(pairs, mine), len(pairs) - 1)] == mine if len(pairs) else mine < 0
+            low, high, doc, name = low[keep], high[keep], doc[keep], name[keep]
+            view = memoryview(data)
+            digests = b"".join(
+                [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(low.tolist(), (high + LENGTH - 1).tolist())]
+            )
+            halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+            rows = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(((low - offsets[doc]) << 8) + (high - low)),
+                    pa.array(name.view(np.int64)),
+                    pa.array(np.ascontiguousarray(halves[:, 0])),
+                    pa.array(np.ascontiguousarray(halves[:, 1])),
+                ],
+                names=["doc_id", "key", "place", "anchor", "high", "low"],
+            )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the units asked for."""
+    for whole in batches:
+        for batch in blocks(whole, most=UNIT_BLOCK):
+            data, offsets = raw_text(batch.column(2))
+            asked = batch.column(3)
+            doc = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy(zero_copy_only=False))
+            place, anchor, large = asked.flatten().flatten()
+            place = place.to_numpy(zero_copy_only=False)
+            low, count = place >> 8, place & 255
             view = memoryview(data)
-            cuts = list(zip(low.tolist(), (high + LENGTH - 1).tolist()))
+            begin = (low + offsets[doc]).tolist()
+            size = (count + LENGTH - 1).tolist()
             rows = pa.array(doc)
-            columns = {
-                "doc_id": batch.column(0).take(rows),
-                "key": batch.column(1).take(rows),
-                "low": pa.array((low - offsets[doc]).astype(np.int32)),
-                "count": pa.array((high - low).astype(np.int32)),
-                "anchor": pa.array(key.view(np.int64)),
-                "digest": pa.array([xxhash.xxh3_128_digest(view[s:e]) for s, e in cuts], pa.binary()),
-            }
-            if pieces:
-                columns["piece"] = pa.array([bytes(view[s:e]) for s, e in cuts], pa.binary())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    anchor,
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(low.astype(np.int32)),
+                    pa.array(count.astype(np.int32)),
+                    pa.array([bytes(view[s : s + n]) for s, n in zip(begin, size)], pa.binary()),
+                    large,
+                ],
+                names=["anchor", "doc_id", "key", "low", "count", "piece", "large"],
+            )
 
 
 def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +315,7 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
             if held and held[-1][0] != row[0]:
                 open_at, open_size = len(held), size
-            if size + len(row[5]) > ARRAY_BYTES and open_at:
+            if size + len(row[5]) > PACKED_BYTES and open_at:
                 yield _result(held[:open_at], batch)
                 held, size, open_at = held[open_at:], size - open_size, 0
             held.append(row)
@@ -265,6 +325,8 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _result(rows: list[tuple], like: pa.RecordBatch) -> pa.RecordBatch:
+    # A document that is listed twice brings its units twice.
+    rows = list({r[:4]: r for r in rows}.values())
     found = earlier_strings([r[1:] for r in rows])
     return pa.RecordBatch.from_arrays(
         [
