@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from registrar.plans import (
     attainment,
@@ -17,6 +18,7 @@ from registrar.plans import (
     students,
     timetable,
 )
+from registrar.sources.catalog import SchoolCatalog
 from registrar.sources.derived import BASE_TABLES, DUCKDB, YEAR, DerivedSchool, derived_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,12 +28,21 @@ FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-31"
 RANGE = (FIRST_DAY, LAST_DAY)
 ONE_DAY = "2024-01-15"
 
+
+def _without_values(cat: DerivedSchool) -> SchoolCatalog:
+    """The school with an attribute table of which no value is filled in."""
+    general = cat.rows("student_general", YEAR).withColumn("value", F.lit(""))
+    pupils = cat.rows("student_edu_details", YEAR)
+    return SchoolCatalog(cat.spark, tables={"student_general": general, "student_edu_details": pupils})
+
+
 PRODUCTS: dict[str, Callable[[DerivedSchool], DataFrame]] = {
     "school_years": school.school_years,
     "school_population": school.school_population,
     "student_details": lambda c: students.student_details(c, YEAR),
     "send_search": lambda c: students.send_search(c, YEAR, "extra time"),
     "student_raw_kv": lambda c: students.student_raw_attributes(c, YEAR),
+    "student_raw_empty_values": lambda c: students.student_raw_attributes(_without_values(c), YEAR),
     "exam_results": lambda c: attainment.exam_results(c, YEAR, "11"),
     "exam_results_typed": lambda c: attainment.exam_results(c, YEAR, "11", ["gcse", "btec"]),
     "attainment": lambda c: attainment.attainment(c, YEAR, "10"),
