@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a task works on at once; one longer text makes a block of its own.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
