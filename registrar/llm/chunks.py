@@ -13,7 +13,7 @@ from registrar.llm.common import append, blocks, raw_text, text_key
 #: A cut needs the largest gear hash among so many places on either side.
 REACH = 24
 #: Repeated chunks on end go if they have at least so many bytes together.
-LEAST_BYTES = 120
+LEAST_BYTES = 64
 
 #: Gear values: one random number for each byte.
 _GEAR = np.random.default_rng(20240607).integers(0, 2**32, 256, dtype=np.uint32)
@@ -58,7 +58,7 @@ def cut_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
-    """One row for each chunk of each text: digest, doc_id, key, start, size."""
+    """One row for each chunk of each text: digest (high, low), doc_id, key, and at (start * 2**31 + size)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
@@ -68,23 +68,24 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 edges = cut_places(data, offsets)
                 owner = np.searchsorted(offsets, edges[:-1], side="right") - 1
                 view = memoryview(data)
+                digests = b"".join(
+                    [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(edges.tolist(), edges[1:].tolist())]
+                )
+                halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
                 rows = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(
-                            [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(edges.tolist(), edges[1:].tolist())],
-                            pa.binary(),
-                        ),
+                        pa.array(np.ascontiguousarray(halves[:, 0])),
+                        pa.array(np.ascontiguousarray(halves[:, 1])),
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array((edges[:-1] - offsets[owner]).astype(np.int32)),
-                        pa.array(np.diff(edges).astype(np.int32)),
+                        pa.array(((edges[:-1] - offsets[owner]) << 31) + np.diff(edges)),
                     ],
-                    names=["digest", "doc_id", "key", "start", "size"],
+                    names=["high", "low", "doc_id", "key", "at"],
                 )
 
     return docs.select("doc_id", text_key().alias("key"), "text").filter("text != ''").mapInArrow(
-        cut, f"digest binary, doc_id {kind}, key long, start int, size int"
+        cut, f"high long, low long, doc_id {kind}, key long, at long"
     )
 
 
@@ -102,13 +103,16 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
     execution splits it where the rows come back to learn whether they are first.
     """
     rows = chunk_rows(docs)
+    own = F.struct("doc_id", "key", "at")
     first = (
-        rows.groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "key", "start")).alias("first"), F.max(F.struct("doc_id", "key", "start")).alias("last"))
-        .filter("first != last")
-        .select("digest", "first")
+        rows.groupBy("high", "low")
+        .agg(F.min(own).alias("first"), F.count("*").alias("count"))
+        .filter("count > 1")
+        .select("high", "low", "first")
+    )
+    again = rows.join(first, ["high", "low"]).filter(own > F.col("first")).select(
+        "doc_id", "key", F.shiftright("at", 31).cast("int").alias("start"), F.col("at").bitwiseAND(2**31 - 1).cast("int").alias("size")
     )
-    again = rows.join(first, "digest").filter(F.struct("doc_id", "key", "start") > F.col("first"))
     order = Window.partitionBy("doc_id", "key").orderBy("start")
     # Identical rows of documents give identical chunks: distinct places are what counts.
     places = again.select("doc_id", "key", "start", "size").distinct()
