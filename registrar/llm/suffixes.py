@@ -5,7 +5,8 @@ keep the shuffles below it. Every 100-byte string has one anchor, the 32-byte
 string inside it with the least hash (the leftmost of equals), so equal strings
 have equal anchors and a string whose anchor stands once is unique. And
 strings that follow each other with one anchor form a unit of at most 69 of
-them; of equal units only the first, by digest, goes on to the suffix arrays.
+them; of equal units (by 64 bits of the anchor and 64 of a digest) only the
+first goes on to the suffix arrays.
 The suffix arrays are then built bucket by bucket, a bucket being the first
 units of one anchor: the difference-cover algorithm sorts the sampled triples,
 recurses on their names, merges the remaining suffixes, and adjacent prefixes
@@ -161,18 +162,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     more than ARRAY_BYTES goes on string by string, by digest.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = docs.select("doc_id", "text", text_key().alias("__key"))
-    anchors = keyed.mapInArrow(_anchors, f"doc_id {kind}, key long, anchor long")
+    # All joins with the texts have the same columns, also those that only ``dedup`` needs in
+    # the end, so that Spark shuffles the texts once and reuses that exchange.
+    keyed = docs.select(*docs.columns, text_key().alias("__key"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    anchors = keyed.select("doc_id", "text", "__key").mapInArrow(_anchors, f"doc_id {kind}, key long, anchor long")
     often = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
     survivors = cut_lineage(
-        anchors.join(often, "anchor").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("anchors"))
+        anchors.join(often, "anchor").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("__anchors"))
     ).withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key"})
     on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__doc_key"))
-    joined = keyed.join(survivors, on).select("doc_id", "__key", "text", "anchors")
+    joined = keyed.join(survivors, on).select("doc_id", "__key", "text", "__anchors", *others)
     found_units = joined.mapInArrow(
-        _units, f"doc_id {kind}, key long, place long, anchor long, high long, low long"
+        _units, f"doc_id {kind}, key long, place long, anchor long, digest long"
     )
-    name, own = ["anchor", "high", "low"], F.struct("doc_id", "key", "place")
+    name, own = ["anchor", "digest"], F.struct("doc_id", "key", "place")
     first = found_units.groupBy(*name).agg(F.min(own).alias("first"), F.count("*").alias("count"))
     start, size = F.shiftright("place", 8).cast("int"), F.col("place").bitwiseAND(255).cast("int")
     copies = (
@@ -189,10 +193,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     asked = (
         singles.join(sized, "anchor").groupBy("doc_id", "key")
-        .agg(F.collect_list(F.struct("place", "anchor", "large")).alias("asked"))
+        .agg(F.collect_list(F.struct("place", "anchor", "large")).alias("__asked"))
         .withColumnsRenamed({"doc_id": "__doc", "key": "__doc_key"})
     )
-    pieces = keyed.join(asked, on).select("doc_id", "__key", "text", "asked").mapInArrow(
+    pieces = keyed.join(asked, on).select("doc_id", "__key", "text", "__asked", *others).mapInArrow(
         _pieces, f"anchor long, doc_id {kind}, key long, low int, count int, piece binary, large boolean"
     )
     spans = f"doc_id {kind}, key long, start int, end int"
@@ -222,7 +226,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the repeated bytes; a character that lost a byte goes whole. Adds n_bytes, n_removed, n_spans."""
-    return cut_spans(docs, repeated_spans(docs.select("doc_id", "text")))
+    return cut_spans(docs, repeated_spans(docs))
 
 
 def _merged(spans: list[dict[str, int]]) -> list[dict[str, int]]:
@@ -261,10 +265,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = pairs[np.minimum(np.searchsorted(pairs, mine), len(pairs) - 1)] == mine if len(pairs) else mine < 0
             low, high, doc, name = low[keep], high[keep], doc[keep], name[keep]
             view = memoryview(data)
-            digests = b"".join(
-                [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(low.tolist(), (high + LENGTH - 1).tolist())]
-            )
-            halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+            digests = [xxhash.xxh3_64_intdigest(view[s:e]) for s, e in zip(low.tolist(), (high + LENGTH - 1).tolist())]
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -272,10 +273,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(1).take(rows),
                     pa.array(((low - offsets[doc]) << 8) + (high - low)),
                     pa.array(name.view(np.int64)),
-                    pa.array(np.ascontiguousarray(halves[:, 0])),
-                    pa.array(np.ascontiguousarray(halves[:, 1])),
+                    pa.array(np.array(digests, np.uint64).view(np.int64)),
                 ],
-                names=["doc_id", "key", "place", "anchor", "high", "low"],
+                names=["doc_id", "key", "place", "anchor", "digest"],
             )
 
 
