@@ -8,13 +8,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrar.llm.common import append, blocks, raw_text, text_key
+from registrar.llm.common import append, blocks, raw_text, runs, text_key
 
 #: A cut needs the largest gear hash among so many places on either side.
 REACH = 24
 #: Repeated chunks on end go if they have at least so many bytes together.
 LEAST_BYTES = 64
 
+#: Runs of a period of REACH bytes or less have no largest hash; from this length on they are cut by their period.
+LEAST_RUN = 64
+
 #: Gear values: one random number for each byte.
 _GEAR = np.random.default_rng(20240607).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -36,8 +39,10 @@ def cut_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
     A cut comes after a byte whose gear hash is larger than those of the
     REACH places before it and not smaller than those of the REACH after it.
-    So no chunk inside a text is shorter than REACH, a cut depends only on the
-    bytes nearby, and after an insertion the next cuts are the old ones.
+    A cut depends only on the bytes nearby, and after an insertion the next
+    cuts are the old ones. Periodic runs have no such byte: their cuts are those
+    of ``_run_cuts`` instead. Outside of them no chunk that ends at two such
+    cuts is shorter than REACH.
     """
     # Between texts stand zeros, so that no cut depends on the texts next to it.
     gap = 32 + REACH
@@ -54,7 +59,49 @@ def cut_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         width *= 2
     top = np.maximum(top[: len(h) - REACH + 1], top[REACH - width : len(h) - width + 1])
     cut = (h[place] > top[place - REACH]) & (h[place] >= top[place + 1])
-    return np.unique(np.concatenate((np.flatnonzero(cut) + 1, offsets)))
+    cuts = np.flatnonzero(cut) + 1
+    found = periodic_runs(data, offsets)
+    if found:
+        inside = np.zeros(len(data) + 2, np.int64)
+        np.add.at(inside, [start + 1 for start, _, _ in found], 1)
+        np.add.at(inside, [end for _, end, _ in found], -1)
+        cuts = cuts[np.cumsum(inside)[cuts] == 0]
+        cuts = np.concatenate([cuts, *[_run_cuts(data, *run) for run in found]])
+    return np.unique(np.concatenate((cuts, offsets)))
+
+
+_ALL_EQUAL = np.uint64(0x0101010101010101)
+
+
+def periodic_runs(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, period) of the longest runs inside a text, of LEAST_RUN bytes or more, whose period is REACH or less."""
+    found: dict[tuple[int, int], int] = {}
+    for period in range(1, REACH + 1):
+        if len(data) < LEAST_RUN:
+            break
+        equal = data[period:] == data[:-period]
+        # A long run holds whole words of eight equal bytes; most blocks of text have none.
+        words = equal[: len(equal) // 8 * 8].view(np.uint64) == _ALL_EQUAL
+        if not (words[:-3] & words[1:-2] & words[2:-1] & words[3:]).any():
+            continue
+        edges = (offsets[1:-1, None] - 1 - np.arange(period)[None, :]).ravel()
+        equal[edges[(edges >= 0) & (edges < len(equal))]] = False
+        starts, ends = runs(equal)
+        long = ends - starts + period >= LEAST_RUN
+        for start, end in zip(starts[long].tolist(), (ends[long] + period).tolist()):
+            found.setdefault((start, end), period)  # a multiple of the period has the same run
+    return [(start, end, period) for (start, end), period in found.items()]
+
+
+def _run_cuts(data: np.ndarray, start: int, end: int, period: int) -> np.ndarray:
+    """Edges of a periodic run: its ends, and every REACH bytes or more where its least rotation starts.
+
+    So the chunks within all runs of the same repeated bytes are equal,
+    wherever in the period and after whatever text a run starts.
+    """
+    twice = data[start : start + period].tobytes() * 2
+    first = start + min(range(period), key=lambda r: twice[r : r + period])
+    return np.concatenate(([start], np.arange(first, end, -(-REACH // period) * period), [end]))
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:

@@ -201,6 +201,38 @@ def test_chunk_dedup_finds_long_passages_and_leaves_others(docs, none):
     assert chunks.dedup(none).count() == 0
 
 
+def test_chunk_dedup_finds_periodic_passages(spark):
+    """Passages of a repeated phrase between other words: each is found, and only bytes that stand earlier go."""
+    phrases = ["ha ", "-", "ab", "buy now ", "ab cd ef gh ij kl mn op", "x y z w v u t s r q p o ", "é ", "no no yes "]
+    rows = []
+    for i, phrase in enumerate(phrases):
+        passage = (phrase * 400)[: 300 + 7 * i]
+        rows += [(4 * i, prose(100 + i, 60) + " " + passage + prose(200 + i, 60)),
+                 (4 * i + 1, prose(300 + i, 60) + " q" + passage[3:] + "z " + prose(400 + i, 60)),
+                 (4 * i + 2, prose(500 + i, 40) + passage * 40 + prose(600 + i, 40)),
+                 (4 * i + 3, prose(500 + i, 40) + passage * 20 + "!" + passage * 20 + prose(600 + i, 40))]
+    got = {r.doc_id: r for r in chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    earlier = b""
+    for i, text in rows:
+        raw, spans = text.encode(), got[i].spans if i in got else []
+        for span in spans:
+            pieces = chunks.cut_places(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            inner = [(a, b) for a, b in zip(pieces, pieces[1:]) if span["start"] <= a and b <= span["end"]]
+            assert all(raw[a:b] in earlier or raw.find(raw[a:b]) < a for a, b in inner)
+        if i % 4:
+            phrase = phrases[i // 4].encode()
+            whole = len(raw) - len((prose(500 + i // 4, 40) + prose(600 + i // 4, 40)).encode()) if i % 4 > 1 else 300
+            assert sum(s["end"] - s["start"] for s in spans) >= whole - 4 * 24 - 2 * len(phrase) - 20, (i, phrase)
+        earlier += raw
+
+
+def test_no_chunk_of_periodic_text_is_long():
+    for phrase in [b"a", b"ab ", b"lorem ipsum dolor sit am", b"one two three four "]:
+        data = np.frombuffer(phrase * 5000, np.uint8)
+        edges = chunks.cut_places(data, np.array([0, 1000, 1010, len(data)]) if len(data) > 1010 else np.array([0, len(data)]))
+        assert np.diff(edges).max() <= 3 * chunks.REACH
+
+
 # Quality rules.
 
 def rule_counts(text):
