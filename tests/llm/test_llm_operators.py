@@ -444,6 +444,24 @@ def test_jaccard_join_equals_brute_force(spark, docs, none, monkeypatch, texts_i
     assert sum(r.keeper for r in got) == len({c for c, _ in jaccard_truth(rows).values()})
 
 
+@pytest.mark.parametrize("texts_in_group", [512, 5000])
+def test_jaccard_join_of_many_variants_near_the_threshold(spark, monkeypatch, texts_in_group):
+    """Links of a group of 600 variants, in one task or bucket by bucket."""
+    monkeypatch.setattr(jaccard, "GROUP_TEXTS", texts_in_group)
+    draw = random.Random(12)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        for at in draw.sample(range(400), draw.choice([4, 5])):
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    truth = jaccard_truth(rows)
+    assert 20_000 < sum(n for _, n in truth.values()) < 600 * 599
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == truth
+
+
 def test_keep_one(docs, none):
     kept = jaccard.keep_one(docs)
     rows = kept.collect()
