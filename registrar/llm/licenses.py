@@ -45,6 +45,57 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
 }
+#: Passages of the standard texts, and usual notices, beside those that the SQL has.
+MORE = {
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance"
+        " with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to"
+        " You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce,"
+        " prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such"
+        " Derivative Works in Source or Object form.",
+    ),
+    "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+    ),
+    "GPL-2.0": (
+        "This License applies to any program or other work which contains a notice placed by the copyright holder saying it"
+        " may be distributed under the terms of this General Public License.",
+    ),
+    "GPL-3.0": ("The GNU General Public License is a free, copyleft license for software and other kinds of works.",),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "LGPL-2.1": (
+        "This License Agreement applies to any software library or other program which contains a notice placed by the"
+        " copyright holder or other authorized party saying it may be distributed under the terms of this Lesser General"
+        " Public License (also called \"this License\").",
+    ),
+    "LGPL-3.0": (
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU"
+        " General Public License, supplemented by the additional permissions listed below.",
+    ),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
+        " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to"
+        " permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "Licensed under the MIT License.",
+        "This project is licensed under the MIT License.",
+        "This project is licensed under the MIT License - see the LICENSE file for details.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+}
+_NAMES = sorted({*TEMPLATES, *MORE})
+#: All of them, with the SPDX line of each licence.
+ALL = {n: (*TEMPLATES.get(n, ()), *MORE.get(n, ()), f"SPDX-License-Identifier: {n}") for n in _NAMES}
+#: Most lines that are put together to a passage.
+LINES = 4
 LEAST_DICE = 0.8
 
 
@@ -72,13 +123,15 @@ def _key_words(grams: list[str], least: float) -> set[str]:
 
 def scan(
     docs: DataFrame,
-    templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
+    templates: Mapping[str, tuple[str, ...]] = ALL,
     least: float = LEAST_DICE,
 ) -> DataFrame:
     """``docs`` with the licences that a passage of the text carries.
 
-    Passages are the text's paragraphs (between blank lines), lines and
-    sentences. Normalised, a passage is lower-case runs of a-z and 0-9. It
+    Passages are the text's paragraphs (between blank lines), lines, sentences
+    (of a line, and of a paragraph across line ends) and runs of up to LINES
+    lines. The opening notice that BSD licences share counts for BSD-2-Clause
+    only where it stands more often than the third clause. Normalised, a passage is lower-case runs of a-z and 0-9. It
     carries a licence if the Dice coefficient of its bigram set and that of one
     of the templates is ``least`` or more. Templates whose size bounds a
     passage misses are not compared with it, and texts and passages
@@ -106,7 +159,7 @@ def scan(
                 F.size(bigrams).between(*_bounds(len(g), least)),
                 F.struct(
                     F.lit(name).alias("license"),
-                    (2.0 * F.size(F.array_intersect(bigrams, F.array(*map(F.lit, g))))
+                    (2.0 * F.size(F.array_intersect(bigrams, F.split(F.lit("|".join(g)), r"\|")))
                      / (F.size(bigrams) + len(g))).alias("dice"),
                 ),
             )
@@ -118,12 +171,26 @@ def scan(
         lines = F.split(lower, "\n", -1)
         sentences = F.flatten(F.transform(lines, lambda l: F.split(l, r"(?<=[.!?])[ \t]+", -1)))
         paragraphs = F.split(lower, r"\n[ \t\r]*\n", -1)
-        passages = F.filter(F.array_distinct(F.concat(paragraphs, lines, sentences)), has_key)
+        wrapped = F.flatten(F.transform(paragraphs, lambda p: F.split(F.regexp_replace(p, r"\s+", " "), r"(?<=[.!?]) ", -1)))
+        together = let(lines, lambda ls: F.flatten(F.array(*[
+            F.when(F.size(ls) >= n, F.transform(
+                F.sequence(F.lit(1), F.greatest(F.size(ls) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(ls, i, n), " ")
+            )).otherwise(F.array().cast("array<string>"))
+            for n in range(2, LINES + 1)
+        ])))
+        passages = F.filter(F.array_distinct(F.concat(paragraphs, lines, sentences, wrapped, together)), has_key)
         return F.flatten(F.transform(passages, lambda p: let(_passage_bigrams(p), matches)))
 
     none = F.array().cast("array<struct<license:string,dice:double>>")
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
     found = let(text, lambda t: F.when(has_key(t), carried(t)).otherwise(none))
+    plain = F.regexp_replace(text, "[^a-z0-9]+", " ")
+    times = lambda phrase: F.size(F.split(plain, phrase, -1))
+    third_only = times("redistribution and use in source and binary forms") <= times("neither the name of")
+    found = let(found, lambda f: F.when(
+        F.array_contains(F.transform(f, lambda x: x.license), "BSD-3-Clause") & third_only,
+        F.filter(f, lambda x: x.license != "BSD-2-Clause"),
+    ).otherwise(f))
     raw = docs.select(*names, found.alias("__found"))
     # For each licence that occurs, in name order, its best coefficient.
     best = let(F.col("__found"), lambda f: F.transform(

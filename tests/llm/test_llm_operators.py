@@ -161,6 +161,24 @@ def test_licences(docs, none):
     assert {r.score for r in rows} == {"own"} and licenses.scan(none).count() == 0
 
 
+def test_licences_of_wrapped_and_standard_texts(spark):
+    clause = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the"
+              " following conditions are met:\n\n1. Keep this.\n\n")
+    third = ("3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote"
+             " products derived from\n   this software without specific prior written permission.\n")
+    mit = "\n".join(re.findall(r".{1,70}(?: |$)", licenses.MORE["MIT"][0]))
+    apache = "Some tool for texts.\nLicensed under the Apache License,\nVersion 2.0.\nMore words follow here, on lines of their own.\n"
+    cases = [
+        ("MIT License\n\nCopyright (c) 2020 A\n\n" + mit + "\n", ["MIT"]),
+        ("Licensed under the MIT License.", ["MIT"]), ("This project is licensed under the MIT License.", ["MIT"]),
+        ("x = 1\n# SPDX-License-Identifier: MIT\n", ["MIT"]), ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]),
+        (apache, ["Apache-2.0"]), (clause + third, ["BSD-3-Clause"]), (clause, ["BSD-2-Clause"]),
+        (clause + third + "\n" + clause, ["BSD-2-Clause", "BSD-3-Clause"]), (licenses.MORE["ISC"][0], ["ISC"]), (prose(9, 200), []),
+    ]
+    made = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    assert {r.doc_id: [x.license for x in r.licenses] for r in licenses.scan(made).collect()} == {i: l for i, (_, l) in enumerate(cases)}
+
+
 def test_licence_key_words_miss_nothing():
     """A passage that reaches the coefficient holds one of the key words, also after edits."""
     draw = random.Random(3)
