@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar.llm.common import Words, append, blocks, cut_lineage, mix, raw_text, text_key
+from registrar.llm.common import Words, append, cut_lineage, mix, raw_text, text_key
+from registrar.llm.groups import candidate_groups, components, in_blocks, met
 
 N = 5
 #: A pair is a link if its n-gram sets have a Jaccard coefficient of LEAST / 10 or more.
@@ -20,9 +21,6 @@ LEAST = 8
 RECALL = 0.999998
 #: Most MinHash values for each text.
 VALUES = 100
-#: A group of candidates that is compared in one task has about so many texts and n-grams at most.
-GROUP_TEXTS = 512
-GROUP_GRAMS = 1_000_000
 
 
 def bands_and_rows(similarity: float, recall: float, values: int = VALUES) -> tuple[int, int]:
@@ -50,9 +48,12 @@ def near_duplicates(docs: DataFrame, n: int = N, least: int = LEAST, recall: flo
     Null, empty and wordless texts are linked with nothing. Documents with
     equal sets are one node of the join, with a count of copies. Band hashes
     are shuffled, not texts; nodes that meet in buckets form clusters. A
-    cluster of bounded size is verified in one task; a larger one bucket
-    by bucket, in blocks of bounded size by two, each pair once. Tasks return
-    counts and a spanning forest, never the pairs of a group. At every size of
+    cluster of bounded size is verified in one task; a larger one in blocks of
+    bounded size by two, each pair once, as a whole or bucket by bucket,
+    whichever sends fewer rows. Tasks return counts and a spanning forest, never
+    the pairs of a group: each node has one edge, from the group of its block
+    with itself, and a pair of blocks adds edges between their local roots
+    only. At every size of
     the cluster, the linked pairs are those that share a band, which a pair at
     the threshold does with probability ``recall``.
     """
@@ -66,9 +67,8 @@ def near_duplicates(docs: DataFrame, n: int = N, least: int = LEAST, recall: flo
     )
     nodes = cut_lineage(nodes)
     members = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    checked = cut_lineage(_verified(docs, nodes, _groups(members), n, least))
-    edges = checked.filter("links > 0 AND node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    labels = components(edges)
+    checked = cut_lineage(_verified(docs, nodes, candidate_groups(met(members)), n, least))
+    labels = components(checked.filter("node != root").select("node", "root"))
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     by_node = (
         nodes.select("node", "rep", "copies")
@@ -148,42 +148,6 @@ def _sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return append(keyed, "n_shingles int, node binary, bands array<long>", work).drop("text")
 
 
-def _groups(members: DataFrame) -> DataFrame:
-    """Which nodes are compared where: node, kind, group, blocks, buckets.
-
-    Buckets with the same members count once. Nodes that buckets connect form
-    a cluster: if it is of bounded size it is the group; otherwise each of its
-    buckets is one, cut into ``blocks`` blocks. ``buckets`` lists the node's
-    buckets: a pair counts if it shares one, and is taken in the smallest.
-    """
-    met = (
-        members.groupBy("bucket")
-        .agg(
-            F.count("*").alias("count"), F.sum("size").alias("grams"), F.min("node").alias("low"),
-            F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-        )
-        .filter("count > 1")
-        .groupBy("count", "low", "x", "y")
-        .agg(F.min("bucket").alias("bucket"), F.first("grams").alias("grams"))
-        .select("bucket", "low", "count", "grams")
-    )
-    placed = cut_lineage(members.join(met, "bucket"))
-    labels = components(placed.filter("node != low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
-    sized = (
-        placed.select("node", "size").distinct().join(labels, "node")
-        .groupBy("label").agg(F.count("*").alias("texts"), F.sum("size").alias("all_grams"))
-    )
-    large = (F.col("texts") > GROUP_TEXTS) | (F.col("all_grams") > GROUP_GRAMS)
-    by_node = labels.join(sized, "label").select("node", "label", large.alias("large"))
-    blocks_of = F.ceil(F.greatest(F.col("count") / GROUP_TEXTS, F.col("grams") / GROUP_GRAMS)).cast("int")
-    buckets = F.array_sort(F.collect_list(F.struct("bucket", blocks_of.alias("blocks"))))  # at most one for each band
-    return (
-        placed.join(by_node, "node")
-        .groupBy("node", "label", "large")
-        .agg(buckets.alias("buckets"))
-    )
-
-
 def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, n: int, least: int) -> DataFrame:
     """node, links (linked documents found in a group), root (of its component in the group)."""
     asked = groups.join(nodes.select("node", "rep", "copies"), "node").select(
@@ -192,29 +156,13 @@ def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, n: int, leas
     keyed = docs.select("doc_id", "text", text_key().alias("__key"))
     on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__doc_key"))
     texts = keyed.join(asked, on).dropDuplicates(["doc_id", "__key"]).select(
-        "text", "node", "copies", "label", "large", "buckets"
+        "text", "node", "copies", "label", "buckets", "units"
     )
 
     def sets(batch: pa.RecordBatch) -> dict[str, object]:
         return {"grams": pa.array([s.tobytes() for s in shingle_sets(batch, n)], pa.binary())}
 
-    made = append(texts, "grams binary", sets).drop("text")
-    whole = made.filter("NOT large").select(
-        F.hex("label").alias("group"), F.lit(0).alias("side"), F.lit(False).alias("crossed"),
-        F.lit(None).cast("long").alias("bucket"), F.transform("buckets", lambda x: x.bucket).alias("buckets"), "node", "copies", "grams",
-    )
-    block = F.pmod(F.xxhash64("node"), F.col("b.blocks"))
-    split = (
-        made.filter("large").withColumn("b", F.explode("buckets"))
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("b.blocks") - 1)))
-    )
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    parts = split.select(
-        F.concat_ws("/", "b.bucket", low, high).alias("group"),
-        F.when(F.col("block") == low, 0).otherwise(1).alias("side"), (low != high).alias("crossed"),
-        F.col("b.bucket").alias("bucket"), F.transform("buckets", lambda x: x.bucket).alias("buckets"), "node", "copies", "grams",
-    )
+    rows = in_blocks(append(texts, "grams binary", sets).drop("text")).drop("label")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -231,7 +179,6 @@ def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, n: int, leas
         if held:
             yield _result(compare(held, least))
 
-    rows = whole.unionByName(parts)
     return rows.repartition("group").sortWithinPartitions("group").mapInArrow(
         verify, "node binary, links long, root binary"
     )
@@ -246,13 +193,15 @@ def _result(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
 
 
 def compare(rows: list[dict], least: int) -> list[tuple[bytes, int, bytes]]:
-    """Linked documents and component root of each node of a group that has a link in it."""
+    """Linked documents, and the node that it hangs on, of each node of a group that has a link in it.
+
+    In a group of one block, nodes hang on the least node of their component.
+    In one of two blocks, links across are counted, and only the blocks' own
+    roots hang on the root of both.
+    """
     rows = sorted(rows, key=lambda r: r["node"])
     sets = [np.frombuffer(r["grams"], np.uint64) for r in rows]
     linked = _linked(sets, least)
-    if rows[0]["crossed"]:
-        side = np.array([r["side"] for r in rows])
-        linked &= side[:, None] != side[None, :]
     # A pair counts if it shares a bucket: in a group that is one bucket, only in the smallest that both are in.
     bucket = rows[0]["bucket"]
     asked = [[b for b in r["buckets"] if bucket is None or b < bucket] for r in rows]
@@ -262,17 +211,27 @@ def compare(rows: list[dict], least: int) -> list[tuple[bytes, int, bytes]]:
         held[i, [names[b] for b in x]] = 1
     shared = held @ held.T > 0
     linked &= shared if bucket is None else ~shared
-    copies = np.array([r["copies"] for r in rows])
-    counts = linked @ copies
-    root = np.arange(len(rows))
-    while True:  # the least node that is reached, by repeated minima
-        reached = np.where(linked, root[None, :], len(rows)).min(1)
+    side = np.array([r["side"] for r in rows])
+    inside = linked & (side[:, None] == side[None, :])
+    counted = linked & ~inside if rows[0]["crossed"] else linked
+    counts = counted @ np.array([r["copies"] for r in rows])
+    root = roots(linked)
+    if rows[0]["crossed"]:
+        at = np.arange(len(rows))
+        root = np.where(roots(inside) == at, root, at)
+    return [(rows[i]["node"], int(counts[i]), rows[root[i]]["node"]) for i in np.flatnonzero((counts > 0) | (root != np.arange(len(rows))))]
+
+
+def roots(linked: np.ndarray) -> np.ndarray:
+    """The least row that each one reaches, by repeated minima."""
+    root = np.arange(len(linked))
+    while True:
+        reached = np.where(linked, root[None, :], len(linked)).min(1)
         lower = np.minimum(root, reached)
         lower = lower[lower]
         if (lower == root).all():
-            break
+            return root
         root = lower
-    return [(rows[i]["node"], int(counts[i]), rows[root[i]]["node"]) for i in np.flatnonzero(counts)]
 
 
 def _linked(sets: list[np.ndarray], least: int) -> np.ndarray:
@@ -302,32 +261,6 @@ def _linked(sets: list[np.ndarray], least: int) -> np.ndarray:
     return linked & (shared > 0)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of the edges (a, b): the least node of its connected component.
-
-    Minima over neighbours and pointer jumping, each round written to the
-    checkpoint folder; only the number of changed labels comes to the driver.
-    Hot nodes are joined on, where adaptive execution splits them, and
-    aggregated with a map-side combine.
-    """
-    both = cut_lineage(edges.union(edges.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")))
-    while True:
-        near = (
-            both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        )
-        hooked = labels.join(near, labels.node == near.a).select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("hook")
-        )
-        target = hooked.select(F.col("node").alias("at"), F.col("hook").alias("jump"))
-        moved = cut_lineage(
-            hooked.join(target, hooked.hook == target["at"]).select("node", "old", F.least("hook", "jump").alias("label"))
-        )
-        labels = moved.select("node", "label")
-        if moved.filter("label != old").isEmpty():
-            return labels
-
-
 def query(spark, sf_dir) -> DataFrame:
     from registrar.llm.common import table
 

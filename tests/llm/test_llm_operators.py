@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, chunks, decontaminate, jaccard, langid, licenses, quality, rules, suffixes, urls
+from registrar.llm import bpe, chunks, decontaminate, groups, jaccard, langid, licenses, quality, rules, suffixes, urls
 from registrar.llm.common import ensure_checkpoint_dir
 
 SCHEMA = "doc_id long, text string, lang string, score string, spans string, node string, n_words string, items string"
@@ -447,7 +447,7 @@ def jaccard_truth(rows, n=5):
 
 @pytest.mark.parametrize("texts_in_group", [512, 4])
 def test_jaccard_join_equals_brute_force(spark, docs, none, monkeypatch, texts_in_group):
-    monkeypatch.setattr(jaccard, "GROUP_TEXTS", texts_in_group)
+    monkeypatch.setattr(groups, "GROUP_ROWS", texts_in_group)
     draw = random.Random(4)
     base = prose(60, 140).split(" ")
     rows = [(i, t) for i, t in texts() if t is None or len(t) < 20_000]
@@ -465,7 +465,7 @@ def test_jaccard_join_equals_brute_force(spark, docs, none, monkeypatch, texts_i
 @pytest.mark.parametrize("texts_in_group", [512, 5000])
 def test_jaccard_join_of_many_variants_near_the_threshold(spark, monkeypatch, texts_in_group):
     """Links of a group of 600 variants, in one task or bucket by bucket."""
-    monkeypatch.setattr(jaccard, "GROUP_TEXTS", texts_in_group)
+    monkeypatch.setattr(groups, "GROUP_ROWS", texts_in_group)
     draw = random.Random(12)
     base = [f"b{i}" for i in range(400)]
     rows = []
@@ -480,6 +480,28 @@ def test_jaccard_join_of_many_variants_near_the_threshold(spark, monkeypatch, te
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == truth
 
 
+@pytest.mark.parametrize("n", [600, 1200, 2400])
+def test_jaccard_join_makes_few_edges_of_many_variants(spark, monkeypatch, n):
+    """Edges grow with the texts, not with their pairs, also where a cluster is cut into blocks."""
+    made = []
+
+    def counted(edges):
+        made.append(edges.count())
+        return groups.components(edges)
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    draw = random.Random(13)
+    rows = []
+    for i in range(n):
+        words = [f"b{k}" for k in range(400)]
+        for at in draw.sample(range(400), draw.choice([3, 5])):
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0} and len(got) == n
+    assert n - 1 <= made[0] <= 2 * n
+
+
 def test_keep_one(docs, none):
     kept = jaccard.keep_one(docs)
     rows = kept.collect()
@@ -496,5 +518,17 @@ def test_bands_reach_the_recall():
 
 def test_components(spark):
     edges = [(bytes([a]), bytes([b])) for a, b in [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (20, 21)]]
-    rows = jaccard.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
+    rows = groups.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
     assert {r.node[0]: r.label[0] for r in rows} == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 7: 5, 8: 5, 9: 5, 20: 20, 21: 20}
+
+
+def test_components_of_long_paths_and_hot_nodes(spark):
+    draw = random.Random(3)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(999, i) for i in range(300, 500)] + [(700, 700)]
+    names = list(range(1000))
+    draw.shuffle(names)
+    made = [(names[a], names[b]) for a, b in edges]
+    rows = groups.components(spark.createDataFrame(made, "a long, b long")).collect()
+    path, star = {names[i] for i in range(100, 161)}, {names[i] for i in [999, *range(300, 500)]}
+    assert {r.node: r.label for r in rows} == {x: min(s) for s in (path, star) for x in s}
+    assert groups.components(spark.createDataFrame([], "a long, b long")).count() == 0
