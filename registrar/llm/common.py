@@ -43,13 +43,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only where it is unset, as in tests, make one."""
+    """Use the cluster's ``spark.checkpoint.dir``; only in local mode, as in tests, make one where it is unset."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
             import tempfile
 
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
             folder = tempfile.mkdtemp(prefix="registrar-")
         context.setCheckpointDir(folder)
 
@@ -182,20 +185,23 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which:
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[0x30:0x3A] = _WORD_BYTE[0x41:0x5B] = _WORD_BYTE[0x61:0x7B] = _WORD_BYTE[0x80:] = True
+#: Bytes of words ``[^\\x20\\x09-\\x0D]+``: all but white space.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[0x20] = NOT_SPACE[0x09:0x0E] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
 class Words:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of lower-cased (A-Z) texts.
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of lower-cased (A-Z) texts, or runs of the bytes ``of``.
 
     ``first[d]:first[d + 1]`` are the words of text ``d``; ``starts`` and
     ``ends`` are their places in ``data``.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, of: np.ndarray = _WORD_BYTE):
         self.data = _LOWER[data]
-        inside = _WORD_BYTE[data]
+        inside = of[data]
         at_start = inside.copy()
         at_start[1:] &= ~inside[:-1]
         at_end = inside.copy()

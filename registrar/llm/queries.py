@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from registrar.llm import bpe, chunks, decontaminate, jaccard, langid, licenses, quality, rules, suffixes, urls
+from registrar.llm import (
+    bpe, chunks, codes, decontaminate, jaccard, langid, licenses, quality, registers, rules, spelling, suffixes, urls,
+)
 from registrar.llm.common import ship_package
 
 
@@ -25,6 +27,9 @@ _QUERIES = {
     "op8_suffix_dedup": suffixes.query,
     "op9_url_filter": urls.query,
     "op10_jaccard_join": jaccard.query,
+    "op11_minhash_registers": registers.query,
+    "op12_spelling_variants": spelling.query,
+    "op13_vector_codes": codes.query,
 }
 QUERIES = {name: _ready(query) for name, query in _QUERIES.items()}
 SQL = {
@@ -33,4 +38,7 @@ SQL = {
     "op6_quality_rules": rules.SQL,
     "op9_url_filter": urls.SQL,
     "op10_jaccard_join": jaccard.SQL,
+    "op11_minhash_registers": registers.SQL,
+    "op12_spelling_variants": spelling.SQL,
+    "op13_vector_codes": codes.SQL,
 }

@@ -9,7 +9,7 @@ import corpus_pipeline
 from registrar.llm import quality
 from registrar.llm.queries import QUERIES, SQL
 
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "embeddings"]
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +20,8 @@ def duck(sf_dir):
     return connection
 
 
-def test_ten_queries():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+def test_one_query_for_each_operator():
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
