@@ -166,24 +166,27 @@ def train(
 
 
 def learn(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE) -> Network:
-    """Train on about ``per_language`` documents of each language among the ``usable`` rows.
+    """Train on about ``per_language`` distinct texts of each language among the ``usable`` rows.
 
     Which ones, and which stretch of each (a place anywhere in the text), is
     chosen by a hash of the text, so the sample is the same in every run.
+    Copies of a text count once, however many there are, and the sample never
+    has more than twice as many rows as asked for.
     """
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    texts = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"))
+    counts = {r.lang: r.n for r in texts.collect()}  # one row per language
     if not counts:
         return train([], [])
     share = F.create_map(*[
-        F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / n))
+        F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / max(n, 1)))
     ])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 24)) / float(1 << 24)
+    key = F.xxhash64("text")
     place = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - STRETCH + 1, F.lit(1)))
-    sample = rows.filter(draw < share[F.col("lang")]).select(
-        "lang", F.substr("text", place.cast("int") + 1, F.lit(STRETCH)).alias("piece")
-    )
-    found = sorted((r.piece.encode(), r.lang) for r in sample.collect())
+    drawn = rows.filter(F.pmod(key, F.lit(1 << 24)) / float(1 << 24) < share[F.col("lang")])
+    pieces = drawn.select("lang", key.alias("key"), F.substr("text", place.cast("int") + 1, F.lit(STRETCH)).alias("piece"))
+    sample = pieces.groupBy("lang", "key").agg(F.min("piece").alias("piece")).orderBy("key", "lang")
+    found = sorted((r.piece.encode(), r.lang) for r in sample.limit(2 * per_language * len(counts)).collect())
     return train([t for t, _ in found], [l for _, l in found])
 
 
@@ -212,7 +215,7 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
 
 
 def pool(network: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean label probabilities (texts, languages) over all positions of each text."""
+    """Mean label probabilities (texts, languages) over all positions of each text, whose states start anew every STRETCH bytes."""
     sizes = np.diff(offsets)
     counts = -(-sizes // STRETCH)
     owner = np.repeat(np.arange(len(sizes)), counts)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar.llm.common import Words, append, bucket, mix, put_back, raw_text, set_aside
+from registrar.llm.common import Words, append, bucket, cut_lineage, mix, put_back, raw_text, set_aside, text_key
 
 #: At most about so many labelled documents are learnt from, chosen by a hash of the id.
 LABELLED = 12_000
@@ -127,21 +127,42 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7) -> R
 
 
 def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Ranking:
-    """Fit on labelled rows whose crc32(doc_id) mod 3 is not 1, about ``labelled`` of them at most."""
-    usable = labels.filter((bucket("doc_id", 3) != 1) & F.col("quality").isNotNull())
-    total = usable.count()
-    share = min(1.0, labelled / max(total, 1))
-    chosen = usable.filter(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    # Bounded by ``labelled``: small enough to broadcast at any size of the tables.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    """Fit on labelled rows whose crc32(doc_id) mod 3 is not 1: weights from a sample, threshold from all of them.
+
+    The sample takes about ``labelled`` doc_ids by hash, never more than twice
+    that, and one text of each (the least hash), so repeated doc_ids do not add
+    to it. The threshold lies at the quantile of the scores of all such
+    documents, one row for each doc_id, at the share of bad labels among all of them.
+    A doc_id with both labels counts as bad.
+    """
+    known = labels.filter((bucket("doc_id", 3) != 1) & F.col("quality").isNotNull()).groupBy("doc_id").agg(
+        F.min("quality").alias("quality")
+    )
+    total = known.count()
+    space = 1 << 30
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(space))
+    # At most twice ``labelled`` rows: small enough to broadcast at any size of the tables.
+    chosen = known.filter(place < int(min(1.0, labelled / max(total, 1)) * space)).orderBy(place, "doc_id").limit(2 * labelled)
+    keyed = docs.select("doc_id", "text", text_key().alias("__key"))
+    rows = keyed.join(F.broadcast(chosen), "doc_id")
     made = append(rows, "x array<double>", lambda b: {
         "x": list(features(*raw_text(b.column(b.schema.get_field_index("text")))))
-    }).select("doc_id", "quality", "x").collect()
-    made.sort(key=lambda r: (str(r.doc_id), r.quality, r.x))
-    x = np.array([r.x for r in made])
-    return fit(x, np.array([r.quality == 1 for r in made], bool))
+    })
+    one = made.groupBy("doc_id", "quality").agg(F.min_by("x", "__key").alias("x")).collect()
+    one.sort(key=lambda r: (str(r.doc_id), r.quality, r.x))
+    ranking = fit(np.array([r.x for r in one]), np.array([r.quality == 1 for r in one], bool))
+    if not ranking.weights.any():
+        return ranking
+
+    def raw(batch: pa.RecordBatch) -> dict[str, object]:
+        return {"raw": ranking.raw(features(*raw_text(batch.column(batch.schema.get_field_index("text")))))}
+
+    scored = append(keyed, "raw double", raw).drop("text").join(known, "doc_id")
+    scored = cut_lineage(scored.groupBy("doc_id", "quality").agg(F.min_by("raw", "__key").alias("raw")))
+    bad = scored.agg(F.avg(F.when(F.col("quality") == 1, 0.0).otherwise(1.0))).first()[0]
+    cut = scored.agg(F.percentile_approx("raw", F.lit(float(bad)), F.lit(100_000))).first()[0]
+    above = scored.filter(F.col("raw") > cut).agg(F.min("raw")).first()[0]
+    return replace(ranking, threshold=(cut + above) / 2 if above is not None else cut)
 
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
