@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from registrar.functions.semantics import WEEK_COLOURS, WEEKDAYS, YEAR_GROUPS, ifelse, in_domain, matches
 from registrar.operators.joins import inner_join, left_join, left_join_many
+from registrar.operators.running import carried_forward
 from registrar.plans.students import student_details
 from registrar.sources.catalog import SchoolCatalog
 
@@ -93,32 +94,28 @@ def _classes(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     ).drop("teacher_ids")
 
 
-def _slots(rows: DataFrame, slot_dates: DataFrame) -> DataFrame:
-    """Per place of a pupil's lesson: the room carried forward to it and the
-    latest start among the lesson's live enrolments.
+def _carried_rooms(rows: DataFrame, slot_dates: DataFrame) -> DataFrame:
+    """Per place of a pupil's lesson: the room carried forward to it.
 
     Only distinct places matter for this, not pupils: all pupils without a
     UPN share one group, and partial aggregation shrinks that group to the
-    lesson's classes before the window sees it.
+    lesson's classes. The group is then scanned by days and ranges of classes.
     """
-    live_start = F.when(F.col("live"), F.col("student_start"))
-    places = rows.groupBy(*_SLOT, *_PLACE, "room").agg(
-        F.max(live_start).alias("start"),
-        F.count_if(F.col("live") & F.col("student_start").isNull()).alias("unknown"),
-    )
+    places = rows.select(*_SLOT, *_PLACE, "room").distinct()
     dated = inner_join(places, slot_dates, ["period_id", "lesson_id"])
-    slot = Window.partitionBy(*_SLOT)
-    so_far = slot.orderBy(
-        *[F.col(c).asc_nulls_last() for c in ("date", "class_id", "room_number", "room")]
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return dated.select(
-        *_SLOT,
-        *_PLACE,
-        "room",
-        F.last("room", ignorenulls=True).over(so_far).alias("carried"),
-        # A missing start makes the latest start unknown.
-        F.when(F.sum("unknown").over(slot) == 0, F.max("start").over(slot)).alias("latest"),
-    ).distinct()
+    carried = carried_forward(dated, _SLOT, ["date", "class_id", "room_number", "room"], "room", "carried")
+    return carried.select(*_SLOT, *_PLACE, "room", "carried").distinct()
+
+
+def _latest_starts(rows: DataFrame) -> DataFrame:
+    """The latest start of each pupil's lesson among live enrolments: one row for each slot that has it.
+
+    A missing start makes the latest start unknown.
+    """
+    live = rows.filter("live").groupBy(*_SLOT).agg(
+        F.max("student_start").alias("student_start"), F.count_if(F.col("student_start").isNull()).alias("unknown")
+    )
+    return live.filter("unknown = 0").drop("unknown")
 
 
 def _room_text(room: Column) -> Column:
@@ -180,10 +177,8 @@ def timetable(cat: SchoolCatalog, academic_year: int) -> DataFrame:
         & (F.col("student_end").isNull() | (F.col("student_end") > last_day)),
     )
 
-    slots = _slots(rows, slot_dates)
-    latest = inner_join(rows.filter("live"), slots, [*_SLOT, *_PLACE, "room"]).filter(
-        F.col("student_start") == F.col("latest")
-    )
+    latest = inner_join(rows.filter("live"), _latest_starts(rows), [*_SLOT, "student_start"])
+    latest = inner_join(latest, _carried_rooms(rows, slot_dates), [*_SLOT, *_PLACE, "room"])
     colour = ifelse(
         F.col("week") == 1,
         WEEK_COLOURS[0],
