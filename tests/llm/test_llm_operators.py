@@ -68,17 +68,20 @@ def lower_words(text):
 
 def hits(text, items, n=13):
     words = lower_words(text)
-    hit, found = set(), set()
+    hit, found, places = set(), set(), {}
     for item, item_text in items:
         w = lower_words(item_text)
         if item is None or not w:
             continue
         size = min(n, len(w))
-        for i in range(len(w) - size + 1):
+        if size not in places:
+            places[size] = {}
             for j in range(len(words) - size + 1):
-                if words[j : j + size] == w[i : i + size]:
-                    hit.update(range(j, j + size))
-                    found.add(str(item))
+                places[size].setdefault(tuple(words[j : j + size]), []).append(j)
+        for i in range(len(w) - size + 1):
+            for j in places[size].get(tuple(w[i : i + size]), []):
+                hit.update(range(j, j + size))
+                found.add(str(item))
     digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(words), len(hit), len(found), digest, len(hit) > 0 and 20 * len(hit) >= len(words)
 
