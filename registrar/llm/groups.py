@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
     named = edges.toDF("a", "b").filter("a != b")
     stars = cut_lineage(named.select(F.greatest("a", "b").alias("big"), F.least("a", "b").alias("small")).distinct())
     while not _are_stars(stars):
+        _release(stars)
         both = stars.union(stars.select("small", "big")).toDF("at", "other")
         least = both.groupBy("at").agg(F.least(F.col("at"), F.min("other")).alias("low"))
         hung = both.filter("other > at").join(least, "at").select(F.col("other").alias("big"), F.col("low").alias("small"))
@@ -36,6 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("big").alias("node"), F.col("small").alias("label")).union(roots)
 
 
+def _release(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of earlier rounds now: it does when the driver's JVM collects their plans."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node hangs on one other at most, and none that does has a node hanging on it."""
     ends = edges.select(F.col("big").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(

@@ -24,8 +24,6 @@ MANTISSA = 10
 BANDS, ROWS = 25, 5
 #: An estimate so many standard deviations under the threshold rules a pair out.
 DEVIATIONS = 6
-#: Members that a task compares with a centre at most; more are dealt to several tasks.
-SPREAD = 1024
 
 _EMPTY = np.uint16(0xFFFF)
 _DRAW = np.random.default_rng(20250311)
@@ -160,10 +158,9 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     placed = met(nodes.select("node", "size", F.explode("bands").alias("bucket")))
     pairs = placed.filter("node != low").select("node", F.col("low").alias("centre")).distinct()
     sketch = nodes.select("node", "size", F.col("registers").alias("data"))
-    possible = cut_lineage(with_centres(pairs, sketch, _estimated(least)))
-    asked = possible.select("node").union(possible.select("centre")).union(_unlike(placed, possible)).distinct()
-    sets = cut_lineage(_sets(docs, nodes, asked))
-    stars = with_centres(possible, sets.select("node", "size", F.col("grams").alias("data")), _verified(least))
+    possible = passing(pairs, sketch, _estimated(least))
+    sets = cut_lineage(_sets(docs, nodes, placed.select("node").distinct()))
+    stars = passing(possible, sets.select("node", "size", F.col("grams").alias("data")), _verified(least))
     labels = cut_lineage(components(stars.select("node", "centre")))
 
     named = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -189,12 +186,6 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def _unlike(placed: DataFrame, possible: DataFrame) -> DataFrame:
-    """Nodes of the bands in which some node is ruled out as a link of the least one: they may be compared in full."""
-    ruled = placed.filter("node != low").select("bucket", "node", F.col("low").alias("centre")).join(possible, ["node", "centre"], "left_anti")
-    return placed.join(ruled.select("bucket").distinct(), "bucket", "left_semi").select("node")
-
-
 def _sketches(docs: DataFrame) -> DataFrame:
     """doc_id, key, n_shingles, node (digest of the set), registers and one hash for each band."""
 
@@ -229,56 +220,35 @@ def _sets(docs: DataFrame, nodes: DataFrame, asked: DataFrame) -> DataFrame:
     return append(texts, "grams binary", work).drop("text")
 
 
-def with_centres(pairs: DataFrame, data: DataFrame, test: Callable) -> DataFrame:
+def passing(pairs: DataFrame, data: DataFrame, test: Callable) -> DataFrame:
     """The pairs (node, centre) that pass ``test``, given what both hold (node, size, data).
 
-    Members of one centre go to as many tasks as they need, each with a copy
-    of the centre's data, and stream by: a task holds one centre and one batch.
+    Two joins on narrow pairs; the members of a hot centre are split by
+    adaptive execution, and stream by in batches.
     """
-    counted = pairs.groupBy("centre").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("blocks"))
-    heads = counted.join(data, counted.centre == data.node).select(
-        "centre", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("binary").alias("node"), "size", "data"
-    )
-    dealt = pairs.join(counted, "centre").select("node", "centre", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    members = dealt.join(data, "node").select("centre", "block", "node", "size", "data")
+    of_centre = data.toDF("centre", "centre_size", "centre_data")
+    rows = pairs.join(data, "node").join(of_centre, "centre")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head: tuple[bytes, int, bytes] | None = None
         for batch in batches:
-            centres, nodes = batch.column("centre").to_pylist(), batch.column("node").to_pylist()
-            sizes, held = batch.column("size").to_pylist(), batch.column("data")
-            i, out = 0, []
-            while i < batch.num_rows:
-                if nodes[i] is None:
-                    head = (centres[i], sizes[i], held[i].as_py())
-                    i += 1
-                    continue
-                j = i
-                while j < batch.num_rows and nodes[j] is not None and centres[j] == centres[i]:
-                    j += 1
-                passed = test(head[1], head[2], sizes[i:j], held.slice(i, j - i).to_pylist())
-                out += [(nodes[i + k], centres[i]) for k in np.flatnonzero(passed)]
-                i = j
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], names=["node", "centre"]
-            )
-
-    rows = heads.union(members).repartition("centre", "block").sortWithinPartitions("centre", "block", F.col("node").asc_nulls_first())
+            held = [batch.column(c) for c in ("size", "data", "centre_size", "centre_data")]
+            passed = [bool(test(*row)) for row in zip(*(h.to_pylist() for h in held))]
+            yield batch.select(["node", "centre"]).filter(pa.array(passed, pa.bool_()))
+
     return rows.mapInArrow(run, "node binary, centre binary")
 
 
 def _estimated(least: int) -> Callable:
-    def test(size: int, one: bytes, sizes: list[int], many: list[bytes]) -> np.ndarray:
-        values = np.frombuffer(b"".join(many), np.uint16).reshape(len(many), BUCKETS)
-        return may_link(np.frombuffer(one, np.uint16), size, values, np.array(sizes), least)
+    def test(size: int, registers: bytes, centre_size: int, of_centre: bytes) -> bool:
+        mine = np.frombuffer(registers, np.uint16)[None, :]
+        return may_link(np.frombuffer(of_centre, np.uint16), centre_size, mine, np.array([size]), least)[0]
 
     return test
 
 
 def _verified(least: int) -> Callable:
-    def test(size: int, one: bytes, sizes: list[int], many: list[bytes]) -> np.ndarray:
-        mine = np.frombuffer(one, np.uint64)
-        return np.array([linked(mine, np.frombuffer(x, np.uint64), least) for x in many])
+    def test(size: int, grams: bytes, centre_size: int, of_centre: bytes) -> bool:
+        return linked(np.frombuffer(of_centre, np.uint64), np.frombuffer(grams, np.uint64), least)
 
     return test
 
