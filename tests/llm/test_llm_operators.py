@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -182,6 +183,39 @@ def test_licences_of_wrapped_and_standard_texts(spark):
     assert {r.doc_id: [x.license for x in r.licenses] for r in licenses.scan(made).collect()} == {i: l for i, (_, l) in enumerate(cases)}
 
 
+def test_licences_of_usual_notices_in_query_and_sql(spark, tmp_path):
+    """Notices that differ in a word or a version, wrapped and embedded: the query and its SQL name each right."""
+    notice = lambda kind, v, thing="program": (
+        f"This {thing} is free software: you can redistribute it and/or modify\nit under the terms of the GNU {kind}General"
+        " Public License as\npublished by the Free Software Foundation, either version " + v + " of the\nLicense, or (at your"
+        " option) any later version.\n")
+    warranty = "\n".join(re.findall(r".{1,60}(?: |$)", licenses.MORE["MIT"][1]))
+    cases = [
+        (notice("", "2"), "GPL-2.0"), (notice("", "3"), "GPL-3.0"), (notice("Affero ", "3"), "AGPL-3.0"),
+        (notice("Lesser ", "2.1", "library"), "LGPL-2.1"), (notice("Lesser ", "3"), "LGPL-3.0"),
+        (notice("Library ", "2", "library"), "LGPL-2.0"), (notice("", "2") + "\nfoo\n\n" + notice("Affero ", "3"), "AGPL-3.0,GPL-2.0"),
+        ("Words of prose.\n\nThis work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License. More.", "CC-BY-4.0"),
+        ("Photo. Licensed under CC BY-NC-SA 3.0. Thanks.", "CC-BY-NC-SA-3.0"), ("Licensed under CC BY 2.0.", ""),
+        ("Not released under the MIT License.", ""), ("Released under the MIT License.", "MIT"), ("mit\n\n" + warranty, "MIT"),
+        ("# SPDX-License-Identifier: CC-BY-NC-SA-4.0", "CC-BY-NC-SA-4.0"), ("// SPDX-License-Identifier: AGPL-3.0-only", "AGPL-3.0"),
+        (licenses.MORE["Unlicense"][0] + "\n\n" + licenses.MORE["Unlicense"][1] + "\n\n" + licenses.MORE["Unlicense"][2], "Unlicense"),
+        ("To the extent possible under law, Ann has waived all copyright and related or neighboring rights to this work.", "CC0-1.0"),
+        ("2. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+         " derived from this software without specific prior written permission.", "BSD-3-Clause"),
+        (licenses.MORE["Zlib"][0], "Zlib"), (None, ""), ("", ""), ("word " * 150_000, ""),
+        ("word " * 120_000 + "\n" + notice("Affero ", "3"), "AGPL-3.0"), ("Licensed under the Apache License,\nVersion 2.0.\n" * 3, "Apache-2.0"),
+    ]
+    made = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    made.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in licenses.query(spark, str(tmp_path)).select("doc_id", "n_licenses", "licenses", "best_dice").collect())
+    assert {r[0]: r[2] for r in got} == {i: names for i, (_, names) in enumerate(cases)}
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert sorted(connection.execute(licenses.SQL).fetchall()) == got
+
+
 def test_licence_key_words_miss_nothing():
     """A passage that reaches the coefficient holds one of the key words, also after edits."""
     draw = random.Random(3)
