@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
 #: Intervals are cut into pieces of so many days, so that a capture meets only those of its time.
 PIECE_DAYS = 32
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host; null where there is none."""
-    return F.nullif(F.lower(F.regexp_extract(url, _HOST, 1)), F.lit(""))
+    """Lower-case host, without the dot that may end it, an IPv6 address in its brackets; null where there is none."""
+    return F.nullif(F.rtrim(F.lower(F.regexp_extract(url, _HOST, 1)), F.lit(".")), F.lit(""))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     """
     rank = F.array_position(F.array(*map(F.lit, ["block", "allow", "unlist"])), F.col("action"))
     day = (
-        entries.select("list", F.lower("domain").alias("domain"), "action", "listed_on")
+        entries.select("list", F.rtrim(F.lower("domain"), F.lit(".")).alias("domain"), "action", "listed_on")
         .dropna()
         .groupBy("list", "domain", "listed_on")
         .agg(F.max_by("action", rank).alias("action"))
@@ -50,7 +50,8 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     All captures of one host and day meet the lists as one row, so a host with
     a third of all captures is no hot key; interval pieces of PIECE_DAYS days
-    make the join an equality of (domain, piece). The verdicts go back to the
+    make the join an equality of (domain, piece), from the first capture's piece
+    to the last one's. The verdicts go back to the
     captures by (host, day), where adaptive execution may split or broadcast.
     """
     names = [c for c in captures.columns if c not in ("host", "list_action", "list_domain", "kept")]
@@ -65,11 +66,12 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
             lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
         )).alias("domain"),
     )
-    last = days.agg(F.max("fetched_on"))
-    pieces = intervals(entries).withColumn("__last", last.scalar()).filter("valid_from <= __last").select(
+    ends = days.agg(F.struct(F.min("fetched_on").alias("first"), F.max("fetched_on").alias("last")))
+    seen = (F.col("valid_from") <= F.col("__ends.last")) & F.coalesce(F.col("valid_to") > F.col("__ends.first"), F.lit(True))
+    pieces = intervals(entries).withColumn("__ends", ends.scalar()).filter(seen).select(
         "domain", "action", "valid_from", "valid_to",
         F.explode(F.sequence(
-            piece(F.col("valid_from")), piece(F.least(F.col("__last"), F.coalesce("valid_to", "__last"))),
+            piece(F.greatest("valid_from", "__ends.first")), piece(F.least("valid_to", "__ends.last")),
         )).alias("piece"),
     )
     active = asked.join(pieces, ["domain", "piece"]).filter(
@@ -130,7 +132,8 @@ def query(spark, sf_dir) -> DataFrame:
 
 SQL = r"""
 WITH page AS (
-    SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host,
+    SELECT page_id, nullif(rtrim(lower(regexp_extract(url,
+               '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)', 1)), '.'), '') AS host,
            DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INTEGER) AS fetched_on
     FROM pages
 ), host AS (

@@ -462,6 +462,31 @@ def test_urls_as_of(spark):
     assert urls.evaluate(captures, entries.limit(0)).filter("list_action IS NOT NULL").count() == 0
 
 
+def test_hosts_in_query_and_sql(spark, tmp_path):
+    """Ports, names, a dot at the end, IPv6 addresses: query and SQL read the same host."""
+    hosts = {
+        "http://[::1]:80/x": "[::1]", "https://u:p@[2001:DB8::1]/": "[2001:db8::1]", "http://ex.com./a": "ex.com", "http://EX.com:80": "ex.com",
+        "http://a.ex.com?q=/b": "a.ex.com", "http://.": None, "http:///x": None, "http://[::1": "[", "ftp+x://h.org#f": "h.org", "": None,
+    }
+    made = spark.createDataFrame([(i, u) for i, u in enumerate([*hosts, None])], "page_id long, url string")
+    made.write.parquet(f"{tmp_path}/pages.parquet")
+    got = urls.query(spark, str(tmp_path)).collect()
+    assert {r.page_id: r.host for r in got} == dict(enumerate([*hosts.values(), None]))
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert sorted(map(str, connection.execute(urls.SQL).fetchall())) == sorted(str(tuple(r)) for r in got)
+
+
+def test_url_intervals_from_long_before_the_captures(spark):
+    """An entry of two centuries before has pieces from the first capture on only, and still decides."""
+    captures = spark.sql("SELECT 'http://c.org' AS url, DATE'2024-03-01' AS fetched_on UNION ALL SELECT 'http://d.org', DATE'2024-01-01'")
+    entries = spark.sql("""
+        SELECT * FROM VALUES ('l', 'C.org.', 'block', DATE'1800-01-01'), ('l', 'd.org', 'block', DATE'1800-01-01'),
+        ('l', 'd.org', 'unlist', DATE'2024-01-01') AS t(list, domain, action, listed_on)""")
+    got = {r.host: (r.list_domain, r.kept) for r in urls.evaluate(captures, entries).collect()}
+    assert got == {"c.org": ("c.org", False), "d.org": (None, True)}
+
+
 # Jaccard join.
 
 def jaccard_truth(rows, n=5):
