@@ -196,6 +196,10 @@ def _facts(events: DataFrame, lookup: DataFrame, lists: DataFrame | None) -> Dat
     distinct, so a pupil's subject has at most as many rows as classes.
     """
     wanted = F.when(F.col("group_name").isNull(), F.lit(True)).otherwise(F.lit(False))
+    if lists is not None:
+        # True of every row. It reads ``actions`` here as well, so that this branch and that of
+        # the lists ask for one and the same aggregate, whose exchange is then run once.
+        events = events.filter(F.size("actions") > 0)
     df = left_join(
         events.drop("actions").withColumn("looked_up", wanted),
         lookup.withColumn("looked_up", F.lit(True)),

@@ -109,3 +109,12 @@ def test_detention_series_reads_no_attributes(spark, sf_dir):
     plan = physical(checked.PRODUCTS["detentions_cumulative"](DerivedSchool(spark, sf_dir)))
     assert "Ethnicity" not in plan and "HML Band" not in plan
     assert "Ethnicity" in physical(checked.PRODUCTS["detentions"](DerivedSchool(spark, sf_dir)))
+
+
+def test_behaviour_events_are_read_once(spark, sf_dir):
+    """Facts and action lists share one aggregate of the events; the test tables hold the events as a union of two scans."""
+    for name, reads in (("behaviour_events", 1), ("detentions", 2)):
+        df = checked.PRODUCTS[name](DerivedSchool(spark, sf_dir))
+        df.collect()
+        final = physical(df).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"FileScan parquet \[event_id", final)) == 2 * reads, name
