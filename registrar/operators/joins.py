@@ -1,5 +1,10 @@
 """Left joins with the products' key semantics: a missing key equals a missing key.
 
+A null-safe key is hashed as a stand-in for null beside a null flag, which hides
+the buckets of a stored table. Where one side is known to have no missing key,
+``never_null=True`` joins by plain equality instead: the same rows, and the
+buckets stay as they are.
+
 Inputs are projected before joining, so a join never leaves duplicate names.
 Nothing is broadcast by hint; Spark broadcasts a side only when its size is
 known to be under ``spark.sql.autoBroadcastJoinThreshold``.
@@ -19,26 +24,27 @@ Key = str | tuple[str, str]
 _DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp_ntz": "1970-01-01"}
 
 
-def _prepare(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> tuple[DataFrame, Column, list[str]]:
+def _prepare(
+    left: DataFrame, right: DataFrame, on: Sequence[Key], never_null: bool = False
+) -> tuple[DataFrame, Column, list[str]]:
     pairs = [(k, k) if isinstance(k, str) else k for k in on]
     temps = [f"__right_key_{i}" for i in range(len(pairs))]
     right = right.withColumnsRenamed({r: t for (_, r), t in zip(pairs, temps)})
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"both sides carry {sorted(clash)}; project before joining")
-    condition = reduce(
-        Column.__and__, [F.col(l).eqNullSafe(F.col(t)) for (l, _), t in zip(pairs, temps)]
-    )
+    equal = Column.__eq__ if never_null else Column.eqNullSafe
+    condition = reduce(Column.__and__, [equal(F.col(l), F.col(t)) for (l, _), t in zip(pairs, temps)])
     return right, condition, temps
 
 
-def left_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, on: Sequence[Key], never_null: bool = False) -> DataFrame:
     """Null-safe left join; the right key columns are dropped.
 
     For a right side that is a dimension: few rows per key. A hot key on the
     left is split by adaptive execution's skew join.
     """
-    right, condition, temps = _prepare(left, right, on)
+    right, condition, temps = _prepare(left, right, on, never_null)
     return left.join(right, condition, "left").drop(*temps)
 
 
@@ -87,9 +93,9 @@ def _without_partner(
     return left.join(keys, condition, "left").filter(F.col("__partner").isNull()).select(*left.columns)
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
+def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key], never_null: bool = False) -> DataFrame:
     """Null-safe inner join; the right key columns are dropped."""
-    right, condition, temps = _prepare(left, right, on)
+    right, condition, temps = _prepare(left, right, on, never_null)
     return left.join(right, condition, "inner").drop(*temps)
 
 
@@ -100,9 +106,9 @@ def anti_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame
     return _without_partner(left, right, on, temps)
 
 
-def full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def full_join(left: DataFrame, right: DataFrame, key: str, never_null: bool = False) -> DataFrame:
     """Null-safe full outer join on one key, kept once."""
-    right, condition, (temp,) = _prepare(left, right, [key])
+    right, condition, (temp,) = _prepare(left, right, [key], never_null)
     joined = left.join(right, condition, "full")
     rest = [c for c in joined.columns if c not in (key, temp)]
     return joined.select(F.coalesce(F.col(key), F.col(temp)).alias(key), *rest)

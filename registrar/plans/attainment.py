@@ -35,6 +35,7 @@ from registrar.plans.common import (
     GENERAL_BAND,
     SENSITIVE_PP,
     class_membership,
+    join_pupils,
     pupil_dim,
     pupil_texts,
     subjects,
@@ -75,7 +76,7 @@ def exam_results(
         "staff_code", "qualification_title", "subject", "class", "student_id", "grade"
     ).distinct()
     pupils = pupil_dim(cat, academic_year, _IDENTITY, GENERAL_BAND, SENSITIVE_PP)
-    df = left_join(df, pupils, ["student_id"]).select(
+    df = join_pupils(cat, df, pupils).select(
         "staff_code", "year_group", "qualification_title", "subject", "class", "upn",
         F.col("student_id").alias("gfsid"),
         *[text.alias(c) for c, text in pupil_texts().items()],
@@ -119,7 +120,7 @@ def _attainment(cat: SchoolCatalog, academic_year: int, year_groups: list[str])
     df = _with_class(cat, academic_year, df).select(
         "staff_code", "subject", "class", "student_id", "grade_type", "grade"
     ).distinct()
-    df = left_join(df, pupil_dim(cat, academic_year, _IDENTITY), ["student_id"])
+    df = join_pupils(cat, df, pupil_dim(cat, academic_year, _IDENTITY))
     return df.select(
         "staff_code", "year_group", "subject", "class", "upn",
         F.col("student_id").alias("gfsid"),
@@ -208,5 +209,5 @@ def markbook_attainment(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     df = places_with_target(cat, academic_year, places, year_group_range("7", "11"))
     df = left_join_many(df, found, ["class", "student_id"])
     # The wide pupil columns come last, to rows that are final.
-    df = left_join(df, class_list_pupils(cat, academic_year), ["student_id"])
+    df = join_pupils(cat, df, class_list_pupils(cat, academic_year))
     return class_list_columns(df, [*TEACHER_COLUMNS, *MARK_COLUMNS])

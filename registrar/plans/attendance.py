@@ -14,7 +14,7 @@ from registrar.functions.semantics import (
 )
 from registrar.operators.joins import inner_join, left_join
 from registrar.operators.reshape import list_text
-from registrar.plans.common import edu_details, students
+from registrar.plans.common import edu_details, join_pupils, students
 from registrar.sources.catalog import SchoolCatalog
 
 SUMMARY_MEASURES = {
@@ -41,7 +41,7 @@ def attendance_codes(cat: SchoolCatalog, academic_year: int) -> DataFrame:
 def _pupils(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     """Pupils on the roll with identity columns, distinct."""
     edu = edu_details(cat, academic_year, ["upn", "national_curriculum_year", "registration_group"])
-    df = left_join(students(cat, academic_year), edu, ["student_id"])
+    df = join_pupils(cat, students(cat, academic_year), edu)
     return df.select(
         "student_id",
         "upn",
@@ -91,7 +91,7 @@ def attendance_session_range(
 ) -> DataFrame:
     """Session marks over an inclusive range of dates, AM, PM or both."""
     marks = _session_marks(cat, academic_year, (date_start, date_end), session)
-    df = inner_join(marks, _pupils(cat, academic_year), ["student_id"])
+    df = inner_join(marks, _pupils(cat, academic_year), ["student_id"], cat.never_null("students"))
     return all_text(
         df.select(
             "upn", F.col("student_id").alias("gfsid"), "surname_forename_reg",
@@ -149,7 +149,7 @@ def _lesson_rows(cat: SchoolCatalog, academic_year: int, dates: tuple[str, str])
     ).distinct()
     pupils = _pupils(cat, academic_year).drop("year_group")
     # Two curriculum years of one pupil differ only in the column dropped here.
-    df = inner_join(narrow, pupils.distinct(), ["student_id"])
+    df = inner_join(narrow, pupils.distinct(), ["student_id"], cat.never_null("students"))
     return all_text(
         df.select(
             "lesson_id", "lesson", "teacher", "room", "upn",
@@ -190,7 +190,7 @@ def attendance_summary(cat: SchoolCatalog, academic_year: int) -> DataFrame:
         .select("student_id", *[F.col(c).alias(f"total_{n}") for c, n in SUMMARY_MEASURES.items()])
         .distinct()
     )
-    df = left_join(_pupils(cat, academic_year), totals, ["student_id"])
+    df = left_join(_pupils(cat, academic_year), totals, ["student_id"], cat.never_null("students"))
     return all_text(
         df.select(
             "upn", F.col("student_id").alias("gfsid"), "surname_forename_reg",

@@ -24,6 +24,7 @@ from registrar.plans.common import (
     GENERAL_FULL,
     SENSITIVE_FULL,
     group_members,
+    join_pupils,
     pupil_dim,
     pupil_texts,
     subjects,
@@ -184,7 +185,7 @@ def _behaviour(
         df = df.filter(matches(F.col("event_classification"), classified))
     pupils = pupil_dim(cat, academic_year, identity, GENERAL_FULL, SENSITIVE_FULL)
     # Distinct before the wide pupil columns, which are distinct themselves.
-    df = left_join(df, _pupil_columns(pupils), ["student_id"])
+    df = join_pupils(cat, df, _pupil_columns(pupils))
     df = df.withColumns(pupil_texts()).withColumnRenamed("student_id", "gfsid")
     return df.select(*EVENT_COLUMNS, *DEMOGRAPHIC_COLUMNS)
 
@@ -337,7 +338,7 @@ def detentions_cumulative(
         cat, academic_year, ["upn", "national_curriculum_year", "registration_group"]
     ).select("student_id", F.nullif("national_curriculum_year", F.lit("NA")).alias("year_group"))
     counts = (
-        left_join(facts.select("student_id", "date"), pupils, ["student_id"])
+        join_pupils(cat, facts.select("student_id", "date"), pupils)
         .groupBy(in_domain(F.col("year_group"), YEAR_GROUPS).alias("year_group"), F.to_date("date").alias("date"))
         .agg(F.count("*").alias("n"))
     )

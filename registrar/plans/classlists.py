@@ -15,6 +15,7 @@ from registrar.plans.common import (
     SENSITIVE_CLASS_LIST,
     group_dim,
     group_members,
+    join_pupils,
     pupil_dim,
     pupil_texts,
     subjects,
@@ -131,7 +132,7 @@ def class_list_teacher(
     df = places_with_target(
         cat, academic_year, df, year_group_range(year_group_from, year_group_to)
     )
-    df = left_join(df, class_list_pupils(cat, academic_year), ["student_id"])
+    df = join_pupils(cat, df, class_list_pupils(cat, academic_year))
     return class_list_columns(df, TEACHER_COLUMNS)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from registrar.functions.semantics import label_id, label_reg, paste, white_british_pp
 from registrar.operators.joins import full_join, left_join, left_join_many
 from registrar.operators.reshape import eav_wide, list_text
-from registrar.sources.catalog import SchoolCatalog
+from registrar.sources.catalog import PUPIL_TABLES, SchoolCatalog
 
 # Attribute names of the two pupil attribute tables.
 GENERAL_FULL = {
@@ -97,10 +97,11 @@ def pupil_dim(
     for a pupil known from the other tables only.
     """
     roll = students(cat, year).withColumn("on_roll", F.lit(True))
-    dim = full_join(roll, edu_details(cat, year, edu), "student_id")
+    known = cat.never_null(*PUPIL_TABLES)
+    dim = full_join(roll, edu_details(cat, year, edu), "student_id", known)
     if general or sensitive:
         wide = attributes(cat, year, general or {}, sensitive or {}, duplicates)
-        dim = full_join(dim, wide, "student_id")
+        dim = full_join(dim, wide, "student_id", known)
     derived = {
         "surname_forename_reg": label_reg(),
         "surname_forename_id": label_id(F.col("student_id")),
@@ -110,6 +111,11 @@ def pupil_dim(
     return dim.withColumns(derived)
 
 
+def join_pupils(cat: SchoolCatalog, df: DataFrame, pupils: DataFrame) -> DataFrame:
+    """Left join of a fact or class list to pupils made of the pupil tables."""
+    return left_join(df, pupils, ["student_id"], cat.never_null(*PUPIL_TABLES))
+
+
 def pupil_texts(wbr_pp: bool = False) -> dict[str, Column]:
     """The labels of a fact row joined to the pupil dimension.
 

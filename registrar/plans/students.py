@@ -14,13 +14,14 @@ from registrar.functions.semantics import (
     matches,
     white_british_pp,
 )
-from registrar.operators.joins import left_join, left_join_many
+from registrar.operators.joins import left_join_many
 from registrar.operators.reshape import non_empty_columns
 from registrar.plans.common import (
     GENERAL_FULL,
     SENSITIVE_FULL,
     attributes,
     edu_details,
+    join_pupils,
     students,
 )
 from registrar.sources.catalog import SchoolCatalog
@@ -42,15 +43,15 @@ def student_details(cat: SchoolCatalog, academic_year: int, duplicates: str = "m
     Each input is distinct and every input column is kept in the result, so
     the joined rows are distinct without another shuffle.
     """
-    df = left_join(
+    df = join_pupils(
+        cat,
         students(cat, academic_year),
         edu_details(
             cat, academic_year, ["upn", "national_curriculum_year", "registration_group"]
         ),
-        ["student_id"],
     )
     wide = attributes(cat, academic_year, GENERAL_FULL, SENSITIVE_FULL, duplicates)
-    df = left_join(df, wide, ["student_id"])
+    df = join_pupils(cat, df, wide)
     df = df.select(
         F.col("national_curriculum_year").alias("year_group"),
         "upn",

@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 from registrar.sources.schemas import DATE_COLUMN, SOURCES, WITHOUT_YEAR
 
 
+# Property of a catalog table that names the column in which no value is missing.
+NEVER_NULL = "registrar.never_null"
+
+PUPIL_TABLES = ("students", "student_edu_details", "student_general", "student_sensitive")
+
+
 class SchoolCatalog:
     """Source tables of one school.
 
@@ -36,6 +42,7 @@ class SchoolCatalog:
         self._tables = dict(tables or {})
         self._format = format
         self._loaded: dict[tuple[str, int | None], DataFrame] = {}
+        self._marked: dict[str, bool] = {}
 
     def load(self, name: str, academic_year: int | None = None) -> DataFrame:
         """The stored table, before columns are conformed.
@@ -56,6 +63,16 @@ class SchoolCatalog:
             return self.spark.read.format(self._format).load(f"{self._root}/{name}")
         raise KeyError(f"no source for table {name!r}")
 
+    def never_null(self, *names: str) -> bool:
+        """Whether these are catalog tables that ``store_school`` found without a missing pupil id."""
+        if self._database is None:
+            return False
+        for name in names:
+            if name not in self._marked and name not in self._tables:
+                properties = self.spark.sql(f"SHOW TBLPROPERTIES {self._database}.{name}")
+                self._marked[name] = properties.filter(F.col("key") == NEVER_NULL).first() is not None
+        return all(self._marked.get(name, False) for name in names)
+
     def rows(
         self,
         name: str,
