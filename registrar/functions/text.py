@@ -25,8 +25,12 @@ def is_word(token: Column) -> Column:
     return token.rlike(r"^[\p{L}\p{N}]")
 
 
+def sentence_ends(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(SENTENCE_END))
+
+
 def sentences(text: Column) -> Column:
-    return F.greatest(F.regexp_count(text, F.lit(SENTENCE_END)), F.lit(1))
+    return F.greatest(sentence_ends(text), F.lit(1))
 
 
 def syllables(text: Column, words: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar.functions import text as tx
-from registrar.sources.textdir import read_text_dir
+from registrar.operators.joins import left_join
+from registrar.sources.textdir import read_text_dir, read_text_lines
 
 # Lowest score of each band, reading age, note.
 BANDS = [
@@ -52,9 +53,37 @@ def text_counts(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def line_counts(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """The counts of ``text_counts`` for files given by lines, each file in many tasks.
+
+    No word, token or vowel run goes over a line end, and a sentence may end
+    there, so counts of lines add up; types are counted as distinct (file,
+    token) pairs. Both are combined map-side: a file that holds most lines
+    moves as one row per task, and as its distinct tokens.
+    """
+    split = lines.select("file", "text", tx.tokens(F.col("text")).alias("tokens"))
+    words = F.filter("tokens", tx.is_word)
+    sums = split.groupBy("file").agg(
+        F.sum(F.size("tokens")).alias("tokens"),
+        F.sum(F.size(words)).alias("words"),
+        F.sum(tx.sentence_ends(F.col("text"))).alias("sentences"),
+        F.sum(tx.syllables(F.col("text"), words)).alias("syllables"),
+    )
+    pairs = split.select("file", F.explode("tokens").alias("token")).distinct()
+    types = pairs.groupBy("file").agg(F.count("*").alias("types"))
+    counts = left_join(left_join(files, sums, ["file"]), types, ["file"])
+    whole = lambda c, least: F.greatest(F.coalesce(c, F.lit(0)), F.lit(least)).cast("int").alias(c)
+    return counts.select(
+        "doc_id", whole("types", 0), whole("tokens", 0), whole("words", 0), whole("sentences", 1), whole("syllables", 0)
+    )
+
+
 def readability(documents: DataFrame, return_full: bool = False) -> DataFrame:
     """Flesch reading ease and reading age of every document."""
-    df = text_counts(documents)
+    return _scored(text_counts(documents), return_full)
+
+
+def _scored(df: DataFrame, return_full: bool) -> DataFrame:
     words, sentences, syllables = F.col("words"), F.col("sentences"), F.col("syllables")
     df = df.select(
         F.col("doc_id").alias("text"),
@@ -70,9 +99,20 @@ def readability(documents: DataFrame, return_full: bool = False) -> DataFrame:
 
 
 def readability_dir(
-    spark: SparkSession, path: str, return_full: bool = False, glob: str = "*", encoding: str = "ISO-8859-1"
+    spark: SparkSession,
+    path: str,
+    return_full: bool = False,
+    glob: str = "*",
+    encoding: str = "ISO-8859-1",
+    by_line: bool = False,
 ) -> DataFrame:
-    """Readability of every file of a directory, by file name."""
+    """Readability of every file of a directory, by file name.
+
+    ``by_line`` reads files by lines, which splits large ones over tasks and
+    costs a shuffle; without it a file is one row, of at most 2 GB.
+    """
+    if by_line:
+        return _scored(line_counts(*read_text_lines(spark, path, glob, encoding)), return_full)
     return readability(read_text_dir(spark, path, glob, encoding), return_full)
 
 

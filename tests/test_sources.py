@@ -117,3 +117,27 @@ def test_readability_of_a_directory(spark, tmp_path):
     made = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
     for full in (False, True):
         assert sorted(readability_dir(spark, str(tmp_path), full).collect()) == sorted(readability(made, full).collect())
+
+
+def test_files_by_line_equal_whole_files(spark, tmp_path):
+    from registrar.plans.readability import readability_dir
+    from registrar.sources.textdir import read_text_lines
+
+    prose = "The cat sat. Did it?\r\nIt's a well-\nknown caf\xe9!\rHmm... e.g. this\n\n - one two"
+    texts = {"a.txt": prose, "empty.txt": "", "blank.txt": "\n \n", "end.txt": "No end", "large.txt": (prose + "\n") * 4000}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode("latin-1"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        lines, _ = read_text_lines(spark, str(tmp_path), "large.txt")
+        splits = lines.selectExpr("spark_partition_id() AS p", "text").where("text <> ''").select("p").distinct().count()
+        assert splits > 5
+        whole = readability_dir(spark, str(tmp_path), True)
+        by_line = readability_dir(spark, str(tmp_path), True, by_line=True)
+        assert by_line.schema.simpleString() == whole.schema.simpleString()
+        expected = sorted(repr(r) for r in whole.collect())
+        assert len(expected) == 4 and sorted(repr(r) for r in by_line.collect()) == expected  # not the empty file
+        assert readability_dir(spark, str(tmp_path), glob="end*", by_line=True).count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
