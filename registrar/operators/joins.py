@@ -99,6 +99,38 @@ def inner_join(left: DataFrame, right: DataFrame, on: Sequence[Key], never_null:
     return left.join(right, condition, "inner").drop(*temps)
 
 
+def left_join_where(
+    left: DataFrame, right: DataFrame, on: Sequence[Key], condition: Column, never_null: bool = False
+) -> DataFrame:
+    """Null-safe left join hashed on ``on`` alone; the condition is tested on the pairs that meet.
+
+    For rows that have been put by ``on`` already, or will be needed by it
+    afterwards: a further hash key would move them once more. The pairs of
+    one key are all looked at, so a key should have few rows on each side.
+    """
+    right, equal, temps = _prepare(left, right, on, never_null)
+    return left.join(right, equal & condition, "left").drop(*temps)
+
+
+def same_where_met(left: Column, right: Column) -> Column:
+    """Null-safe equality for ``left_join_where``, as a range so that it is not taken for a hash key."""
+    return left.between(right, right) | (left.isNull() & right.isNull())
+
+
+def with_hash_key(df: DataFrame, column: str, value: str, missing: str) -> DataFrame:
+    """Replace a key by the two columns that a null-safe join would hash: a stand-in for null and a null flag.
+
+    Rows put by these columns may be made distinct and joined by plain
+    equality (``never_null=True``) where they are.
+    """
+    kind = df.schema[column].dataType
+    stand_in = F.lit(_DEFAULTS.get(kind.typeName(), 0)).cast(kind)
+    rest = [c for c in df.columns if c != column]
+    return df.select(
+        F.coalesce(F.col(column), stand_in).alias(value), F.col(column).isNull().alias(missing), *rest
+    )
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
     """Left rows without a partner, null-safe."""
     keys = right.select(*[k if isinstance(k, str) else k[1] for k in on])

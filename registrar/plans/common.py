@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.functions.semantics import label_id, label_reg, paste, white_british_pp
@@ -140,6 +140,14 @@ def subjects(cat: SchoolCatalog, year: int) -> DataFrame:
     )
 
 
+def coded_subjects(cat: SchoolCatalog, year: int) -> DataFrame:
+    """Subjects, marked where the name stands for one code; a missing name never does."""
+    code = F.coalesce("subject_code", F.lit("\u0000missing"))
+    codes = F.collect_set(code).over(Window.partitionBy("subject"))
+    one_code = F.col("subject").isNotNull() & (F.size(codes) == 1)
+    return subjects(cat, year).withColumn("one_code", one_code)
+
+
 def group_dim(cat: SchoolCatalog, year: int) -> DataFrame:
     """Teaching groups with subject and staff, no duplicates."""
     groups = cat.rows("teaching_groups", year).select(
