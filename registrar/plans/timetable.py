@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.functions.semantics import WEEK_COLOURS, WEEKDAYS, YEAR_GROUPS, ifelse, in_domain, matches
-from registrar.operators.joins import inner_join, left_join, left_join_many
+from registrar.operators.joins import (
+    inner_join,
+    left_join,
+    left_join_many,
+    left_join_where,
+    same_where_met,
+    with_hash_key,
+)
 from registrar.plans.students import student_details
 from registrar.sources.catalog import SchoolCatalog
 
@@ -23,6 +30,7 @@ LESSON_CODES = [
 ]
 
 _SLOT = ["upn", "lesson_id"]
+_PUPIL_KEY = ["__pupil", "__no_pupil"]
 _PLACE = ["period_id", "class_id", "room_number"]
 
 COLUMNS = [
@@ -94,31 +102,27 @@ def _classes(cat: SchoolCatalog, academic_year: int) -> DataFrame:
 
 
 def _slots(rows: DataFrame, slot_dates: DataFrame) -> DataFrame:
-    """Per place of a pupil's lesson: the room carried forward to it and the
+    """Rows of a pupil's lesson with the room carried forward to them and the
     latest start among the lesson's live enrolments.
 
-    Only distinct places matter for this, not pupils: all pupils without a
-    UPN share one group, and partial aggregation shrinks that group to the
-    lesson's classes before the window sees it.
+    The rows are put by pupil and lesson once, before their dates multiply
+    them, and all the rest happens there. Rows that tie in the order are of
+    one place and have one room.
     """
     live_start = F.when(F.col("live"), F.col("student_start"))
-    places = rows.groupBy(*_SLOT, *_PLACE, "room").agg(
-        F.max(live_start).alias("start"),
-        F.count_if(F.col("live") & F.col("student_start").isNull()).alias("unknown"),
-    )
-    dated = inner_join(places, slot_dates, ["period_id", "lesson_id"])
+    put = rows.repartition(*_SLOT)
+    dated = inner_join(put, slot_dates, ["period_id", "lesson_id"])
     slot = Window.partitionBy(*_SLOT)
     so_far = slot.orderBy(
         *[F.col(c).asc_nulls_last() for c in ("date", "class_id", "room_number", "room")]
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    unknown = F.count_if(F.col("live") & F.col("student_start").isNull())
     return dated.select(
-        *_SLOT,
-        *_PLACE,
-        "room",
+        *rows.columns,
         F.last("room", ignorenulls=True).over(so_far).alias("carried"),
         # A missing start makes the latest start unknown.
-        F.when(F.sum("unknown").over(slot) == 0, F.max("start").over(slot)).alias("latest"),
-    ).distinct()
+        F.when(unknown.over(slot) == 0, F.max(live_start).over(slot)).alias("latest"),
+    )
 
 
 def _room_text(room: Column) -> Column:
@@ -163,27 +167,37 @@ def timetable(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     )
 
     # Lessons that never meet, and meetings without a class, end up dropped:
-    # inner joins. Everything known about a class is attached to it while
-    # classes are still few, then the enrolments arrive.
-    lessons = inner_join(periods, slot_dates.select("period_id").distinct(), ["period_id"])
-    taught = inner_join(_classes(cat, academic_year), lessons, ["period_id"])
-    taught = left_join(taught, teachers, ["teacher_id"])
-    taught = left_join(taught, groups, ["class"])
-    taught = left_join(taught, subject_names, ["subject_id", "subject_code", "year_group"])
-    taught = left_join(taught, departments, ["department_id"])
-    rows = left_join_many(taught, enrolments, ["class_id"])
+    # inner joins. What tells places apart goes with the enrolments; the wide
+    # class columns are joined to the rows that remain.
+    lessons = inner_join(
+        periods.select("period_id", "lesson_id"), slot_dates.select("period_id").distinct(), ["period_id"]
+    )
+    classes = _classes(cat, academic_year)
+    sites = classes.select(*_PLACE, "room", F.col("class").isNotNull().alias("named")).distinct()
+    sites = inner_join(sites, lessons.distinct(), ["period_id"])
+    rows = left_join_many(sites, enrolments, ["class_id"])
     rows = left_join(rows, details.select("student_id", "upn").distinct(), ["student_id"])
     rows = rows.withColumn(
         "live",
-        F.col("class").isNotNull()
+        F.col("named")
         & F.col("lesson_id").isNotNull()
         & (F.col("student_end").isNull() | (F.col("student_end") > last_day)),
-    )
+    ).drop("student_end", "named")
 
-    slots = _slots(rows, slot_dates)
-    latest = inner_join(rows.filter("live"), slots, [*_SLOT, *_PLACE, "room"]).filter(
-        F.col("student_start") == F.col("latest")
+    latest = _slots(rows, slot_dates).filter(F.col("live") & (F.col("student_start") == F.col("latest")))
+    # The lesson and its pupil are among the columns, so this happens where the rows are.
+    latest = latest.select(*_SLOT, *_PLACE, "room", "student_id", "carried").distinct()
+    taught = left_join(classes.filter(F.col("class").isNotNull()), teachers, ["teacher_id"])
+    taught = left_join(taught, groups, ["class"])
+    taught = left_join(taught, subject_names, ["subject_id", "subject_code", "year_group"])
+    taught = left_join(taught, departments, ["department_id"])
+    taught = taught.select(
+        *_PLACE, "room", "staff_code", "department", "subject_name", "subject_code", "year_group", "class"
     )
+    latest = inner_join(latest, taught, [*_PLACE, "room"]).drop("class_id", "room_number", "room")
+    # Put by pupil once: there they get the lesson's columns, are made distinct and meet the details.
+    latest = with_hash_key(latest, "student_id", *_PUPIL_KEY).repartition(*_PUPIL_KEY)
+    latest = inner_join(latest, periods, ["period_id", "lesson_id"])
     colour = ifelse(
         F.col("week") == 1,
         WEEK_COLOURS[0],
@@ -204,10 +218,13 @@ def timetable(cat: SchoolCatalog, academic_year: int) -> DataFrame:
         "lesson_start",
         "lesson_end",
         "upn",
-        "student_id",
+        *_PUPIL_KEY,
     ).distinct()
     # Distinct rows joined to distinct details stay distinct. The room text is
     # tidied last, as two spellings of a room stay two rows.
-    df = left_join(shaped, details, ["student_id", "upn"])
+    details = with_hash_key(details, "student_id", *_PUPIL_KEY).withColumnRenamed("upn", "details_upn")
+    same_upn = same_where_met(F.col("upn"), F.col("details_upn"))
+    df = left_join_where(shaped, details, _PUPIL_KEY, same_upn, never_null=True)
+    value, missing = _PUPIL_KEY
     df = df.withColumn("room", _room_text(F.col("room")))
-    return df.withColumnRenamed("student_id", "gfsid").select(*COLUMNS)
+    return df.withColumn("gfsid", F.when(~F.col(missing), F.col(value))).select(*COLUMNS)
