@@ -107,22 +107,27 @@ def _slots(rows: DataFrame, slot_dates: DataFrame) -> DataFrame:
 
     The rows are put by pupil and lesson once, before their dates multiply
     them, and all the rest happens there. Rows that tie in the order are of
-    one place and have one room.
+    one place and have one room. A row with a room of its own has it on every
+    date, and is given for the first one only.
     """
     live_start = F.when(F.col("live"), F.col("student_start"))
     put = rows.repartition(*_SLOT)
+    lesson = Window.partitionBy("period_id", "lesson_id")
+    slot_dates = slot_dates.withColumn("again", F.col("date") > F.min("date").over(lesson))
     dated = inner_join(put, slot_dates, ["period_id", "lesson_id"])
     slot = Window.partitionBy(*_SLOT)
     so_far = slot.orderBy(
         *[F.col(c).asc_nulls_last() for c in ("date", "class_id", "room_number", "room")]
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     unknown = F.count_if(F.col("live") & F.col("student_start").isNull())
-    return dated.select(
+    slots = dated.select(
         *rows.columns,
+        "again",
         F.last("room", ignorenulls=True).over(so_far).alias("carried"),
         # A missing start makes the latest start unknown.
         F.when(unknown.over(slot) == 0, F.max(live_start).over(slot)).alias("latest"),
     )
+    return slots.filter(F.col("room").isNull() | ~F.col("again")).drop("again")
 
 
 def _room_text(room: Column) -> Column:
@@ -185,8 +190,7 @@ def timetable(cat: SchoolCatalog, academic_year: int) -> DataFrame:
     ).drop("student_end", "named")
 
     latest = _slots(rows, slot_dates).filter(F.col("live") & (F.col("student_start") == F.col("latest")))
-    # The lesson and its pupil are among the columns, so this happens where the rows are.
-    latest = latest.select(*_SLOT, *_PLACE, "room", "student_id", "carried").distinct()
+    latest = latest.select(*_SLOT, *_PLACE, "room", "student_id", "carried")
     taught = left_join(classes.filter(F.col("class").isNotNull()), teachers, ["teacher_id"])
     taught = left_join(taught, groups, ["class"])
     taught = left_join(taught, subject_names, ["subject_id", "subject_code", "year_group"])
